@@ -18,18 +18,27 @@ PARSED_COLUMNS = {
     "receive_time": S.RECEIVE_TIME,
 }
 
+TIME_COLUMNS = ["start_no", "end_no", "start_ts", "end_ts", "amount"]
+
+
+def _is_object(value: Column) -> Column:
+    # The JSON reader itself accepts text after the object, and an array around it.
+    trimmed = F.trim(value)
+    return trimmed.startswith("{") & trimmed.endswith("}")
+
 
 def drop_empty(df: DataFrame, column: str = "value") -> DataFrame:
     return df.where(F.length(column) > 0)
 
 
 def parse_log(df: DataFrame, column: str = "value") -> DataFrame:
-    """Add one column per record field, and ``_corrupt``, to the other columns.
+    """Add one column per record field, and ``_corrupt``, to the other columns. A line that is no object has no fields.
 
     The record goes through ``inline``: filters on the fields then stay above the parse. On plain
     struct columns the optimizer moves a copy of ``from_json`` into each filter and parses a line several times.
     """
-    record = F.from_json(F.col(column), S.RECHARGE_PARSE_SCHEMA, {"columnNameOfCorruptRecord": S.CORRUPT})
+    text = F.when(_is_object(F.col(column)), F.col(column))
+    record = F.from_json(text, S.RECHARGE_PARSE_SCHEMA, {"columnNameOfCorruptRecord": S.CORRUPT})
     parsed = df.select("*", F.inline(F.array(record)))
     return parsed.withColumnsRenamed({field: name for name, field in PARSED_COLUMNS.items()})
 
@@ -44,23 +53,35 @@ def filter_recharge(parsed: DataFrame) -> DataFrame:
     return parsed.where(equals_ignore_case(F.col("service_name"), S.RECHARGE_SERVICE))
 
 
-def _no_object(value: Column) -> Column:
-    # The JSON reader accepts text after the object and an array around it.
-    trimmed = F.trim(value)
-    return F.col(S.CORRUPT).isNotNull() | ~(trimmed.startswith("{") & trimmed.endswith("}"))
+def with_times(records: DataFrame) -> DataFrame:
+    """Add ``start_ts`` and ``end_ts``, both times also as numbers, and ``amount``.
+
+    They go through ``inline`` as well: the check and the projection after it use them several times, and
+    in place they would be computed each time.
+    """
+    start, end = F.col("start_no"), F.col("end_no")
+    numbers = F.struct(
+        times.compact_number(F.col("request_id")).alias("start_no"),
+        times.compact_number(F.col("receive_time")).alias("end_no"),
+        amount(F.col("chargefee")).alias("amount"),
+    )
+    stamps = F.struct(
+        times.number_to_timestamp(start).alias("start_ts"), times.number_to_timestamp(end).alias("end_ts")
+    )
+    return records.select("*", F.inline(F.array(numbers))).select("*", F.inline(F.array(stamps)))
 
 
 def _field_problem() -> Column:
     """Why a recharge notification cannot be counted; NULL if it can. A missing fee matters only on success."""
-    fee = F.nullif(F.col("chargefee"), F.lit(""))
+    no_fee = F.nullif(F.col("chargefee"), F.lit("")).isNull()
     return (
         F.when(F.col("result").isNull(), "missing_result")
         .when(F.col("province_code").isNull(), "missing_province")
-        .when(~F.coalesce(times.starts_compact(F.col("request_id")), F.lit(False)), "bad_request_id")
-        .when(times.compact_to_millis(F.col("request_id")).isNull(), "bad_start_time")
-        .when(times.compact_to_millis(F.col("receive_time")).isNull(), "bad_receive_time")
-        .when(fee.isNull() & (F.col("result") == S.SUCCESS), "missing_fee")
-        .when(fee.isNotNull() & amount(F.col("chargefee")).isNull(), "bad_fee")
+        .when(F.col("start_no").isNull(), "bad_request_id")
+        .when(F.col("start_ts").isNull(), "bad_start_time")
+        .when(F.col("end_ts").isNull(), "bad_receive_time")
+        .when(no_fee & (F.col("result") == S.SUCCESS), "missing_fee")
+        .when(~no_fee & F.col("amount").isNull(), "bad_fee")
     )
 
 
@@ -69,20 +90,20 @@ def with_reason(parsed: DataFrame, column: str = "value") -> DataFrame:
     value = F.col(column)
     reason = (
         F.when(value.isNull() | (F.trim(value) == ""), "empty")
-        .when(_no_object(value), "bad_json")
+        .when(~_is_object(value) | F.col(S.CORRUPT).isNotNull(), "bad_json")
         .when(F.col("service_name").isNull(), "missing_service_name")
         .when(equals_ignore_case(F.col("service_name"), S.RECHARGE_SERVICE), _field_problem())
     )
-    return parsed.withColumn("reason", reason)
+    return with_times(parsed).withColumn("reason", reason)
 
 
 def rejected_records(df: DataFrame, column: str = "value") -> DataFrame:
     """The lines that cannot be counted, with the reason."""
     checked = with_reason(parse_log(df, column), column).where(F.col("reason").isNotNull())
-    return checked.drop(*PARSED_COLUMNS, S.CORRUPT)
+    return checked.drop(*PARSED_COLUMNS, *TIME_COLUMNS, S.CORRUPT)
 
 
 def recharge_records(df: DataFrame, column: str = "value") -> DataFrame:
-    """The recharge notifications that can be counted."""
-    kept = filter_recharge(parse_log(df, column))
-    return kept.where(~_no_object(F.col(column)) & _field_problem().isNull()).drop(S.CORRUPT)
+    """The recharge notifications that can be counted, with the columns of ``with_times``."""
+    kept = filter_recharge(parse_log(df, column)).where(F.col(S.CORRUPT).isNull())
+    return with_times(kept).where(_field_problem().isNull()).drop(S.CORRUPT)

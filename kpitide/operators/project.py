@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpitide import schemas as S
 from kpitide.functions import times
-from kpitide.operators.parse import amount, recharge_records
+from kpitide.operators.parse import recharge_records
+
+
+def _cost_ms() -> Column:
+    end = times.millis_of(F.col("end_ts"), F.col("end_no"))
+    return end - times.millis_of(F.col("start_ts"), F.col("start_no"))
 
 
 def base_projection(records: DataFrame, *carry: str) -> DataFrame:
-    """Time keys, province and the metrics of each record, beside the ``carry`` columns.
+    """Time keys, province and the metrics of each checked record, beside the ``carry`` columns.
 
     Fee and duration count only for successful orders.
     """
     request_id = F.col("request_id")
     ok = F.col("result") == S.SUCCESS
     zero_money = F.lit(0).cast(S.MONEY)
-    cost = times.duration_ms(request_id, F.col("receive_time"))
     return records.select(
         *carry,
         "request_id",
@@ -27,13 +31,13 @@ def base_projection(records: DataFrame, *carry: str) -> DataFrame:
         times.day_key(request_id).alias("day"),
         times.hour_key(request_id).alias("hour"),
         times.minute_key(request_id).alias("minute"),
-        times.compact_to_timestamp(request_id).alias("start_ts"),
-        times.compact_to_timestamp(F.col("receive_time")).alias("end_ts"),
+        "start_ts",
+        "end_ts",
         F.lit(1).cast("bigint").alias("orders"),
         ok.cast("bigint").alias("succ"),
         (~ok).cast("bigint").alias("fail"),
-        F.when(ok, amount(F.col("chargefee"))).otherwise(zero_money).alias("fee"),
-        F.when(ok, cost).otherwise(F.lit(0)).cast("bigint").alias("cost_ms"),
+        F.when(ok, F.col("amount")).otherwise(zero_money).alias("fee"),
+        F.when(ok, _cost_ms()).otherwise(F.lit(0)).cast("bigint").alias("cost_ms"),
     )
 
 
@@ -55,9 +59,4 @@ def time_keys(records: DataFrame, *carry: str) -> DataFrame:
 
 
 def recharge_duration(records: DataFrame, *carry: str) -> DataFrame:
-    return records.select(
-        *carry,
-        times.compact_to_timestamp(F.col("request_id")).alias("start_ts"),
-        times.compact_to_timestamp(F.col("receive_time")).alias("end_ts"),
-        times.duration_ms(F.col("request_id"), F.col("receive_time")).alias("duration_ms"),
-    )
+    return records.select(*carry, "start_ts", "end_ts", _cost_ms().alias("duration_ms"))

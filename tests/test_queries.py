@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the small tables."""
 
+import os
+
 import pytest
 
 from kpitide.plans import QUERIES
 from tests.compare import DATA, connect, differences
 
-SF_DIR = str(DATA / "sf0.001")
+SF_DIR = str(DATA / os.environ.get("TEST_SF", "sf0.001"))
 
 
 @pytest.fixture(scope="module")
