@@ -115,27 +115,22 @@ def _seconds(ttl: int) -> Column:
 
 
 def current_segment(partials: DataFrame, keys: Sequence[str], ttl: int, time: str = "write_time") -> DataFrame:
-    """The partials a key still holds, with ``expires_at``.
+    """The partials a key still holds, with ``segment_start`` and ``expires_at``.
 
     A write to any field renews the whole key for ``ttl`` seconds. A write after that finds the key
-    gone and starts afresh, so only the writes since the last such gap count. The window runs over
-    the distinct write times of a key, one per batch, and ``join`` brings the start back to the partials.
+    gone and starts afresh, so only the writes since the last such gap count. The windows share one
+    shuffle, and run over partial sums: a key has some rows per batch, however many orders are in them.
     """
-    writes = partials.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_n"))
     previous = F.lag(time).over(Window.partitionBy(*keys).orderBy(time))
-    starts = (
-        writes.withColumn("_previous", previous)
-        .groupBy(*keys)
-        .agg(
-            F.max(
-                F.when(
-                    F.col("_previous").isNull() | (F.col(time) >= F.col("_previous") + _seconds(ttl)), F.col(time)
-                )
-            ).alias("segment_start"),
-            (F.max(time) + _seconds(ttl)).alias("expires_at"),
-        )
+    begins = previous.isNull() | (F.col(time) >= previous + _seconds(ttl))
+    of_key = Window.partitionBy(*keys)
+    return (
+        partials.withColumn("_begins", F.when(begins, F.col(time)))
+        .withColumn("segment_start", F.max("_begins").over(of_key))
+        .withColumn("expires_at", F.max(time).over(of_key) + _seconds(ttl))
+        .where(F.col(time) >= F.col("segment_start"))
+        .drop("_begins")
     )
-    return partials.join(starts, [*keys]).where(F.col(time) >= F.col("segment_start"))
 
 
 def alive_at(partials: DataFrame, keys: Sequence[str], ttl: int, as_of: Column, time: str = "write_time") -> DataFrame:
