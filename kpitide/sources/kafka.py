@@ -35,13 +35,19 @@ def read_options(
     group: str | None = None,
     max_per_batch: int | None = None,
     min_partitions: int | None = None,
+    skip_lost: bool = False,
 ) -> dict[str, str]:
-    """Options of a read. A streaming query with a checkpoint uses ``starting_offsets`` only on its first start."""
+    """Options of a read. A streaming query with a checkpoint uses ``starting_offsets`` only on its first start.
+
+    With ``skip_lost`` a partition whose next records are no longer held goes on at its earliest ones.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic_list(topics),
         "startingOffsets": starting_offsets,
     }
+    if skip_lost:
+        options["failOnDataLoss"] = "false"
     if group is not None:
         options["kafka.group.id"] = group
     if max_per_batch is not None:

@@ -15,6 +15,7 @@ from kpitide.operators.words import text_lines
 BATCH_MINUTES = 10
 UNKNOWN_CODES = ["999", "000"]
 RECORD_PARTITIONS = 4
+FILES_PER_BATCH = 1000
 
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -26,10 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+def stream_table(
+    spark: SparkSession, sf_dir: str, name: str, schema: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """The table's files as a stream. A cap on a micro-batch keeps what is lost with a failed one small."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     # The file stream takes a folder or a pattern, and a table may be a single file; the pattern matches both.
     return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 

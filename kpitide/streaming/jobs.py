@@ -27,6 +27,9 @@ KPI_EVERY = "2 seconds"
 PER_BATCH_EVERY = "5 seconds"
 CUMULATIVE_COUNT_EVERY = "20 seconds"
 
+# Name of the KPI query in its progress reports.
+KPI_QUERY = "kpi"
+
 WORD_SUMS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
@@ -71,7 +74,7 @@ def kpi_stream(
         if compact_every and batch_id and batch_id % compact_every == 0:
             sums.compact(batch_id - 1)
 
-    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+    return start(log.writeStream.queryName(KPI_QUERY).foreachBatch(put), checkpoint, every)
 
 
 def daily_totals_stream(
@@ -177,6 +180,15 @@ def console_stream(
     return start(writer, checkpoint, every)
 
 
+def kafka_stream(
+    lines: DataFrame, servers: str, topic: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Write lines to a topic; trigger and files per batch set the pace."""
+    writer = kafka.to_messages(lines).writeStream.format("kafka")
+    writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
+    return start(writer, checkpoint, every)
+
+
 def put_partitions(df: DataFrame, connect: Callable, put: Callable) -> None:
     """Write rows to an outside store with one connection per partition: ``connect()``, then ``put(connection, row)``."""
 

@@ -44,11 +44,10 @@ class PartialSums:
 
     def create(self) -> PartialSums:
         """Write the empty table, unless there is one."""
-        empty = self.spark.createDataFrame([], self.schema)
+        empty = self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         empty.write.mode("ignore").parquet(f"{self.path}/batches/batch_id={NO_BATCH}")
         empty.write.mode("ignore").parquet(f"{self.path}/base/upto={NO_BATCH}")
-        done = self.spark.createDataFrame([(NO_BATCH,)], "upto bigint")
-        done.write.mode("ignore").parquet(f"{self.path}/compacted")
+        self._done(NO_BATCH).write.mode("ignore").parquet(f"{self.path}/compacted")
         return self
 
     def put(self, partials: DataFrame, batch_id: int, write_time: Column | None = None) -> None:
@@ -59,6 +58,9 @@ class PartialSums:
         )
         rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={batch_id}")
 
+    def _done(self, upto: int) -> DataFrame:
+        return self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+
     def _base_version(self) -> int:
         # Written after the base it names, so a base cut short by a failure is never read.
         done = self.spark.read.schema("upto bigint").parquet(f"{self.path}/compacted")
@@ -111,5 +113,4 @@ class PartialSums:
             folded = self._fold(held, last_write.alias("write_time"))
         rows = folded.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         rows.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        done = self.spark.createDataFrame([(upto,)], "upto bigint")
-        done.coalesce(1).write.mode("append").parquet(f"{self.path}/compacted")
+        self._done(upto).write.mode("append").parquet(f"{self.path}/compacted")
