@@ -15,14 +15,17 @@ def _signed_int(unsigned: Column) -> Column:
 
 def string_hash_code(text: Column) -> Column:
     """The 32-bit hash code of a string: a polynomial in 31 over its UTF-16 units."""
-    units = F.hex(F.encode(text, "UTF-16BE"))
-    count = (F.length(units) / 4).cast("int")
-    codes = F.transform(
-        F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.conv(F.substring(units, i * 4 + 1, F.lit(4)), 16, 10).cast("bigint"),
-    )
-    folded = F.aggregate(codes, F.lit(0).cast("bigint"), lambda h, c: F.pmod(h * 31 + c, F.lit(_INT_RANGE)))
-    return _signed_int(folded)
+
+    def step(h: Column, char: Column) -> Column:
+        point = F.ascii(char)
+        # Characters beyond the first 65536 are two units.
+        above = point - 0x10000
+        first, second = F.shiftright(above, 10) + 0xD800, above.bitwiseAND(0x3FF) + 0xDC00
+        mixed = F.when(point < 0x10000, h * 31 + point).otherwise((h * 31 + first) * 31 + second)
+        return mixed.bitwiseAND(F.lit(_INT_RANGE - 1))
+
+    chars = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
+    return _signed_int(F.aggregate(chars, F.lit(0).cast("bigint"), step))
 
 
 def long_hash_code(number: Column) -> Column:
