@@ -136,6 +136,10 @@ def _window_sql(unit: str) -> str:
     FROM base GROUP BY ALL"""
 
 
+# The windows a watermark ten minutes behind the newest order has passed.
+CLOSED_WINDOWS_SQL = f"""SELECT * FROM ({_window_sql('minute')}) AS windows
+    WHERE window_end <= (WITH {BASE} SELECT max(start_ts) FROM base) - INTERVAL 10 MINUTE"""
+
 _SPOILT = f"""{LOG},
 spoilt AS (
   SELECT *, seq % 16 AS kind, service_name AS sn, result AS rs, CAST(amount AS VARCHAR) AS fe, province_code AS pc,

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpitide.operators import keyed
 from kpitide.plans import words as word_plans
 from kpitide.plans.fixture_sql import tokens
-from kpitide.plans.recharge import grouping_sets_sql
+from kpitide.plans.recharge import CLOSED_WINDOWS_SQL, grouping_sets_sql
 from kpitide.plans.registry import Query
 from kpitide.session import scratch_path
 from kpitide.sources import tables
@@ -54,7 +55,32 @@ def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out").drop("batch_id")
 
 
+def stream_minute_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-window")
+    jobs.run(jobs.window_stream(_log_stream(spark, sf_dir), f"{path}/out", f"{path}/checkpoint"))
+    written = spark.read.parquet(f"{path}/out")
+    bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
+    return written.select(*bounds, "orders", "succ", "money")
+
+
+def stream_seeded_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-seeded")
+    seed = word_plans.seed(spark, sf_dir)
+    jobs.run(jobs.seeded_word_stream(_line_stream(spark, sf_dir), seed, f"{path}/out", f"{path}/checkpoint"))
+    # Each batch has the words that came in it; the newest count of a word is its last one.
+    return keyed.last_value(spark.read.parquet(f"{path}/out"), ["word"], ["n"]).drop("batch_id")
+
+
+def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-top-words")
+    jobs.run(jobs.top_word_stream(_line_stream(spark, sf_dir), f"{path}/out", f"{path}/checkpoint"))
+    return _newest(spark, f"{path}/out")
+
+
 QUERIES = {
+    "stream_minute_window": Query(stream_minute_window, CLOSED_WINDOWS_SQL),
+    "stream_seeded_word_count": Query(stream_seeded_word_count, word_plans.QUERIES["seeded_word_count"].sql),
+    "stream_top10_words": Query(stream_top10_words, word_plans.QUERIES["top10_words"].sql),
     "stream_kpi": Query(stream_kpi, grouping_sets_sql()),
     "word_count_cumulative": Query(
         word_count_cumulative, f"WITH {tokens(',')} SELECT word, count(*) AS n FROM tokens GROUP BY word"

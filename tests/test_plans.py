@@ -7,13 +7,13 @@ import pytest
 from kpitide import app
 from kpitide.operators import kpi
 from kpitide.operators.project import base_rows
-from kpitide.plans import QUERIES
+from kpitide.plans import QUERIES, streams
 from kpitide.schemas import provinces
 from kpitide.sources import tables
 from tests.compare import DATA
 
 SF_DIR = str(DATA / "sf0.001")
-STREAMS = {"stream_kpi", "stream_running_count", "word_count_cumulative"}
+STREAMS = set(streams.QUERIES)
 WRITTEN = {"running_word_count"}
 
 
