@@ -7,11 +7,12 @@ Kafka package of Spark on the cluster.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
 from kpitide.operators.keyed import DAY_TTL
-from kpitide.operators.offsets import record_metadata
+from kpitide.operators.offsets import ledger_by_group, record_metadata
 from kpitide.schemas import seed_words
 from kpitide.session import build_session
 from kpitide.sources import files, kafka
@@ -27,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--topics", help="Kafka topics to read, separated by commas")
     top.add_argument("--group", default="kpitide")
     top.add_argument("--starting-offsets", default="earliest", help="earliest, latest, or offsets as JSON")
+    top.add_argument("--resume-from", help="ledger folder of an earlier kpi job to go on from, without its checkpoint")
+    top.add_argument("--partition-counts", type=json.loads, help="partitions per topic as JSON, for --resume-from")
     top.add_argument("--max-per-batch", type=int, help="Kafka records per micro-batch")
     top.add_argument("--out", required=True, help="folder the job writes to, reachable for all executors")
     top.add_argument("--to-topic", help="Kafka topic the produce job writes to")
@@ -37,6 +40,14 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def first_offsets(spark: SparkSession, args: argparse.Namespace) -> str:
+    if not args.resume_from:
+        return args.starting_offsets
+    stored = ledger_by_group(jobs.stored_ledger(spark, args.resume_from), args.group)
+    points = stored.select("topic", stored["partitions"].alias("partition"), "offset")
+    return kafka.starting_offsets_json(points, args.partition_counts)
+
+
 def lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.files:
         return files.stream_lines(spark, args.files, args.files_per_batch)
@@ -45,7 +56,7 @@ def lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     options = kafka.read_options(
         args.servers,
         args.topics,
-        starting_offsets=args.starting_offsets,
+        starting_offsets=first_offsets(spark, args),
         max_per_batch=args.max_per_batch,
         skip_lost=True,
     )

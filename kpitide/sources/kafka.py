@@ -12,6 +12,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# What the source reads as "from the earliest record".
+EARLIEST = -2
+
 
 def topic_list(topics: str | Iterable[str]) -> str:
     """Topics as the source wants them: no blanks, no empty names, each once, in a fixed order."""
@@ -57,12 +60,16 @@ def read_options(
     return options
 
 
-def starting_offsets_json(resume: DataFrame) -> str:
+def starting_offsets_json(resume: DataFrame, partition_counts: dict[str, int] | None = None) -> str:
     """The ``startingOffsets`` text of resume points ``topic, partition, offset``.
 
-    The driver needs this text whole; it has one number per partition of the topics read.
+    The source wants every partition named. ``partition_counts`` gives the number of partitions per
+    topic; those without a resume point start at their earliest record. The driver needs this text
+    whole; it has one number per partition of the topics read.
     """
-    by_topic: dict[str, dict[str, int]] = {}
+    by_topic = {
+        topic: {str(n): EARLIEST for n in range(count)} for topic, count in (partition_counts or {}).items()
+    }
     for row in resume.select("topic", "partition", "offset").toLocalIterator():
         by_topic.setdefault(row["topic"], {})[str(row["partition"])] = row["offset"]
     return json.dumps(by_topic, sort_keys=True)

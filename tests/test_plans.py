@@ -1,5 +1,6 @@
 """What the plans must look like to hold at scale."""
 
+import json
 import re
 
 import pytest
@@ -10,6 +11,7 @@ from kpitide.operators.project import base_rows
 from kpitide.plans import QUERIES, streams
 from kpitide.schemas import provinces
 from kpitide.sources import tables
+from kpitide.streaming import jobs
 from tests.compare import DATA
 
 SF_DIR = str(DATA / "sf0.001")
@@ -91,3 +93,15 @@ def test_command_line(spark, tmp_path):
     assert [r["reason"] for r in rejects.collect()] == ["bad_json"]
     with pytest.raises(SystemExit):
         app.main(["kpi", "--out", str(tmp_path / "x")], spark)
+
+
+def test_command_line_resumes_from_a_ledger(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    listener = jobs.LedgerListener(spark, ledger, "g", jobs.KPI_QUERY)
+    listener.store(['{"t":{"0":5,"1":3}}'], 0)
+    listener.store(['{"t":{"0":9}}'], 1)
+    args = ["kpi", "--servers", "h:1", "--topics", "t", "--out", str(tmp_path), "--group", "g"]
+    plain = app.parser().parse_args(args)
+    assert app.first_offsets(spark, plain) == "earliest"
+    resumed = app.parser().parse_args([*args, "--resume-from", ledger, "--partition-counts", '{"t": 3}'])
+    assert json.loads(app.first_offsets(spark, resumed)) == {"t": {"0": 9, "1": 3, "2": -2}}
