@@ -53,6 +53,14 @@ def filter_recharge(parsed: DataFrame) -> DataFrame:
     return parsed.where(equals_ignore_case(F.col("service_name"), S.RECHARGE_SERVICE))
 
 
+def _may_be_recharge(value: Column) -> Column:
+    """False only if the line cannot be a recharge notification, so that other kinds of record need no parse.
+
+    The name of the kind stands in the line as it is, in some case, unless the line has escaped letters.
+    """
+    return F.lower(value).contains(S.RECHARGE_SERVICE.lower()) | value.contains("\\u")
+
+
 def with_times(records: DataFrame) -> DataFrame:
     """Add ``start_ts`` and ``end_ts``, both times also as numbers, and ``amount``.
 
@@ -105,5 +113,6 @@ def rejected_records(df: DataFrame, column: str = "value") -> DataFrame:
 
 def recharge_records(df: DataFrame, column: str = "value") -> DataFrame:
     """The recharge notifications that can be counted, with the columns of ``with_times``."""
-    kept = filter_recharge(parse_log(df, column)).where(F.col(S.CORRUPT).isNull())
+    possible = df.where(_may_be_recharge(F.col(column)))
+    kept = filter_recharge(parse_log(possible, column)).where(F.col(S.CORRUPT).isNull())
     return with_times(kept).where(_field_problem().isNull()).drop(S.CORRUPT)

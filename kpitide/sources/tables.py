@@ -77,8 +77,12 @@ def _json(fields: dict[str, Column]) -> Column:
 
 
 def recharge_log(events: DataFrame) -> DataFrame:
-    """``seq, batch_id, value``: one JSON line per event."""
-    return events.select(F.col("event_id").alias("seq"), batch_id().alias("batch_id"), _json(_fields()).alias("value"))
+    """``seq, batch_id, value``: one JSON line per event.
+
+    The line goes through ``inline``, or a filter on it would make the JSON a second time below the projection.
+    """
+    line = F.struct(_json(_fields()).alias("value"))
+    return events.select(F.col("event_id").alias("seq"), batch_id().alias("batch_id"), F.inline(F.array(line)))
 
 
 # Each kind of damage hits the events whose id leaves its number as the remainder by DAMAGE_CYCLE.
@@ -109,7 +113,7 @@ def damaged_log(events: DataFrame) -> DataFrame:
         .when(kind == 7, having(**{S.RECEIVE_TIME: F.lit("soon")}))
         .otherwise(whole)
     )
-    return events.select(F.col("event_id").alias("seq"), value.alias("value"))
+    return events.select(F.col("event_id").alias("seq"), F.inline(F.array(F.struct(value.alias("value")))))
 
 
 def kafka_records(events: DataFrame) -> DataFrame:

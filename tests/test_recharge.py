@@ -67,6 +67,7 @@ KEPT = [
     line(provinceCode="999"),
     f"  {line()}  ",
     line(more={"nested": [1, 2]}),
+    line().replace("reCharge", "re\\u0043harge"),
 ]
 OTHER = [line(serviceName="sendRechargeReq"), line(serviceName="sendRechargeReq", requestId="short")]
 
