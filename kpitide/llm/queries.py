@@ -5,17 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpitide.llm import bpe, packing
+from kpitide.llm import bpe, languages, licences, packing, passages, toxicity
 from kpitide.llm.common import table
 
 
+def fold(folds: int) -> Column:
+    """Fold of a document: the remainder of the checksum of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = languages.learn(docs.where(fold(4) != 2))
+    held_out = (fold(4) == 2).alias("held_out")
+    return languages.predict(docs, prototypes).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold(3) != 1))
+    predicted = F.when(F.col("score") >= toxicity.PREDICT_FROM, 1).otherwise(0).alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", predicted)
+
+
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.remove(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_sentences", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     digest = F.crc32("ids").alias("ids_crc32")
@@ -23,7 +51,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op3_bpe": op3_bpe,
+    "op5_toxicity": op5_toxicity,
+    "op8_passages": op8_passages,
+    "op9_licences": op9_licences,
     "op10_packing": op10_packing,
 }
 SQL: dict[str, str] = {}
