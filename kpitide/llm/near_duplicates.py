@@ -121,7 +121,7 @@ def tiles(found: np.ndarray, rule: Rule) -> np.ndarray:
             if slicing == SLICINGS:  # too many empty slices each time
                 out.append(mix(np.array([tag], np.uint64) * ODD))
                 break
-            own = found if slicing == 0 else np.sort(mix(found ^ (ODD * np.uint64(2 * slicing + 1))))
+            own = found if slicing == 0 else np.sort(mix(found ^ mix(np.array([slicing], np.uint64))))
             at = ((own >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
             first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
             content = np.add.reduceat(mix(own), first)

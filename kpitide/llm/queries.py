@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpitide.llm import bpe, languages, licences, packing, passages, toxicity
+from kpitide.llm import bpe, languages, licences, near_duplicates, near_vectors, neighbours, packing, passages, toxicity
 from kpitide.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.group(table(spark, sf_dir, "documents"), near_duplicates.Rule(words=4, num=85, den=100))
+    return found.toDF("doc_id", "n_shingles", "component_id")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(fold(3) != 1))
@@ -35,6 +40,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", predicted)
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors.links(table(spark, sf_dir, "embeddings"), least=0.93)
+    kept = (F.col("id") == F.col("component")).alias("kept")
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept)
+
+
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = passages.remove(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_sentences", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
@@ -53,7 +68,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op3_bpe": op3_bpe,
+    "op4_jaccard": op4_jaccard,
     "op5_toxicity": op5_toxicity,
+    "op6_neighbours": op6_neighbours,
+    "op7_near_vectors": op7_near_vectors,
     "op8_passages": op8_passages,
     "op9_licences": op9_licences,
     "op10_packing": op10_packing,
