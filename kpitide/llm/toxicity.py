@@ -1,7 +1,7 @@
 """Toxicity classifier regularised with counterfactuals.
 
-Features are the words of a text and the beginnings of its words (three to five letters), each counted once per text. The
-features that differ most between the two labels are kept, and a logistic regression is fitted to them. For each labelled sentence
+Features are the different words of a text and the beginnings of its words (four to seven letters). A beginning gives one more feature
+for each of ``SHARES`` that its words reach among the different words of the text. The features that differ most between the two labels are kept, and a logistic regression is fitted to them. For each labelled sentence
 that names a group of people a counterfactual is made by putting other groups' names in its place; the square of
 the difference between the two scores (before the logistic function) is added to the loss. So a group's name can carry little weight of its own,
 and a neutral sentence about the group is not taken for a toxic one.
@@ -25,16 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 FEATURES = 4096
 BITS = 22
 LEAST_TEXTS = 4
-RIDGE = 1e-4
+RIDGE = 2e-5
 COUNTERFACTUAL = 1.0
-STEPS = 300
+TOXIC_WEIGHT = 2.0  # of a toxic row in the loss
+STEPS = 500
 PREDICT_FROM = 0.7
 KEPT = 300_000
-PREFIXES = (3, 4, 5)
+PREFIXES = (4, 5, 6, 7)
+SHARES = (0.01, 0.03)
 WORD = re.compile(r"[^\W\d_]+")
 
 # Names of groups of people; a word is replaced by the others of its line.
@@ -54,10 +56,18 @@ GROUPS = (
 SWAPS = {w: tuple(o for o in line if o != w) for line in GROUPS for w in line}
 
 
+MASK = (1 << BITS) - 1
+
+
 def word_features(word: str) -> tuple[int, ...]:
     """Hashed features of a lower-case word."""
     found = [word, *(word[:k] + "-" for k in PREFIXES if len(word) > k)]
-    return tuple(zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in found)
+    return tuple(zlib.crc32(x.encode()) & MASK for x in found)
+
+
+def at_share(feature, level: int):
+    """The feature that a beginning has enough words for ``SHARES[level]``."""
+    return (feature * 2654435761 + (level + 1) * 40503) & MASK
 
 
 def words_of(text: str | None) -> set[str]:
@@ -65,7 +75,9 @@ def words_of(text: str | None) -> set[str]:
 
 
 def features_of(words: set[str]) -> np.ndarray:
-    return np.unique(np.fromiter((f for w in words for f in word_features(w)), np.int64))
+    base, counts = np.unique(np.fromiter((f for w in words for f in word_features(w)), np.int64), return_counts=True)
+    more = [at_share(base[counts >= share * len(words)], level) for level, share in enumerate(SHARES)]
+    return np.unique(np.concatenate([base, *more]))
 
 
 def counterfactuals(words: set[str]) -> list[set[str]]:
@@ -83,18 +95,22 @@ class Model:
     intercept: float
 
     def score(self, words: set[str], known: dict[str, tuple[int, ...]]) -> float:
+        """``known`` keeps the features of a word that have a weight, or whose shares have one."""
         weights = self.weights
-        seen: set[int] = set()
+        counts: Counter[int] = Counter()
         for w in words:
             useful = known.get(w)
             if useful is None:
-                useful = tuple(f for f in word_features(w) if f in weights)
+                useful = tuple(f for f in word_features(w) if f in weights or any(at_share(f, i) in weights for i in range(len(SHARES))))
                 if len(known) >= KEPT:
                     known.clear()
                 known[w] = useful
             if useful:
-                seen.update(useful)
-        z = self.intercept + sum(weights[f] for f in sorted(seen))
+                counts.update(useful)
+        seen = set(counts)
+        for f, n in counts.items():
+            seen.update(at_share(f, i) for i, share in enumerate(SHARES) if n >= share * len(words))
+        z = self.intercept + sum(weights[f] for f in sorted(seen & weights.keys()))
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
@@ -173,11 +189,12 @@ def fit_local(labels: np.ndarray, own: list[np.ndarray], swapped: list[list[list
     d_row, d_col, d_sign = (np.concatenate(x) if x else np.empty(0) for x in (delta_row, delta_col, delta_sign))
     d_row, d_col = d_row.astype(np.int64), d_col.astype(np.int64)
 
+    weight = np.where(y == 1, TOXIC_WEIGHT, 1.0) / len(y)
     w, b = np.zeros(len(best)), float(np.log(n1 / n0))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, STEPS + 1):
         z = b + np.bincount(row, w[col], minlength=len(y))
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * weight
         gradient = np.bincount(col, error[row], minlength=len(w)) + RIDGE * w
         if n_delta:
             change = np.bincount(d_row, d_sign * w[d_col], minlength=n_delta)
