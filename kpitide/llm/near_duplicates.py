@@ -16,7 +16,8 @@ decided by intersecting the sorted shingles themselves.
 Equal sets are one node from the start (copies before the shuffle, too), so copies are never compared, however many there are.
 
 Null and empty texts and texts of blanks alone have an empty set and link with nothing. Texts with fewer words than a shingle have one shingle, the
-whole. Ids must be unique; rows with a null id are left out of groups. Other columns are not touched.
+whole. Each row is returned with the size of its own set; rows with the same id are one document and share a component. Rows with a
+null id are left out. Other columns are not touched.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ from kpitide.llm.components import components
 BITMAP_WORDS = 16  # of 64 bits
 BAND_RATIO = 1.5
 SLICINGS = 4
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 4
+WORTH_A_ROUND = 0.05  # share of a round's pairs that must link for another round of leaders
 BLOCK = 512
+PAIRS_AT_ONCE = 200_000
 SEEN_AT_ONCE = 1_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -271,29 +274,61 @@ def block_pairs(members: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = placed.withColumn("other", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
-    def work(table: pa.Table) -> pa.Table:
-        ids, comp, n = (table.column(c).to_numpy() for c in ("id", "component", "n"))
-        own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        out_a, out_b = [np.empty(0, ids.dtype)], [np.empty(0, ids.dtype)]
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) | (i[x] != j[x]))]
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        tile, i, j, own, ids, comp, n = (table.column(c).to_numpy() for c in range(7))
+        bits = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
+        order = np.lexsort((own, j, i, tile))
+        tile, i, j, own, ids, comp, n, bits = (x[order] for x in (tile, i, j, own, ids, comp, n, bits))
+        new = np.append(True, (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+        start = np.flatnonzero(new)
+        end = np.append(start[1:], len(tile))
+        at_group = np.cumsum(new) - 1
+        # Within a block a row meets those after it; of two blocks the first, which comes first, meets the second.
+        second = start + np.add.reduceat((own == i).astype(np.int64), start)
+        same = i == j
+        first_met = np.where(same, np.arange(len(tile)) + 1, second[at_group])
+        met = np.where(same | (own == i), end[at_group] - first_met, 0)
+        rows = np.flatnonzero(met > 0)
+        upto = np.cumsum(met[rows])
+        lo = 0
+        while lo < len(rows):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS_AT_ONCE)))
+            some, count = rows[lo:hi], met[rows[lo:hi]]
+            x = np.repeat(some, count)
+            y = np.repeat(first_met[some] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            apart = comp[x] != comp[y]
+            x, y = x[apart], y[apart]
             both = n[x] + n[y]
             differing = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
-            y = y[rule.could((both - differing) // 2, both)]
-            out_a.append(np.minimum(ids[x], ids[y]))
-            out_b.append(np.maximum(ids[x], ids[y]))
-        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+            could = rule.could((both - differing) // 2, both)
+            a, b = ids[x[could]], ids[y[could]]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            lo = hi
+
+    placed = placed.select("tile", "i", "j", "own", "id", "component", "n", "bits").repartition("tile", "i", "j")
+    return placed.mapInArrow(work, f"a {kind}, b {kind}").distinct()
 
-    return placed.groupBy("tile", "i", "j").applyInArrow(work, f"a {kind}, b {kind}").distinct()
+
+def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """``id, component`` after more links ``a, b`` between the ids."""
+    of_a = labels.select(F.col("id").alias("a"), F.col("component").alias("a_component"))
+    of_b = labels.select(F.col("id").alias("b"), F.col("component").alias("b_component"))
+    between = more.join(of_a, "a").join(of_b, "b").select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))
+    merged = components(between).select(F.col("id").alias("component"), F.col("component").alias("_merged"))
+    out = labels.join(merged, "component", "left").select("id", F.coalesce("_merged", "component").alias("component"))
+    return written(out, "jaccard-labels")
 
 
 def group(docs: DataFrame, rule: Rule, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_shingles, component``: size of each text's set, and the smallest id it can reach by links."""
     known = written(sets(docs, rule, key, text), "jaccard-sets")
     equal = known.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("node"))
-    of_node = known.where("n > 0").join(equal, ["n", "h1", "h2"]).select("id", "node")
+    of_node = known.where("n > 0").join(equal, ["n", "h1", "h2"]).select("id", "node").distinct()
     of_node = written(of_node, "jaccard-nodes")
 
     shared = written(shared_tiles(tile_rows(docs, rule, key, text)), "jaccard-tiles")
@@ -302,37 +337,42 @@ def group(docs: DataFrame, rule: Rule, key: str = "doc_id", text: str = "text")
     leaders = of_node.select(F.col("id").alias("leader"), F.col("node").alias("a"))
     members = written(members.join(leaders, "leader").select("tile", "a", "id").distinct(), "jaccard-members")
 
-    ids = members.select("id").distinct()
+    ids = written(members.select("id").distinct(), "jaccard-ids")
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
     texts = written(texts, "jaccard-texts")
     some = written(known.join(ids, "id", "left_semi").select("id", "n", "bits"), "jaccard-some")
 
-    tried = written(members.where("a != id").select("a", F.col("id").alias("b")).distinct(), "jaccard-pairs")
+    tried = members.where("a != id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    tried = written(tried, "jaccard-pairs")
     links = written(verified(tried, some, texts, rule), "jaccard-links")
-    labels = components(links)
+    labels = joined(ids.select("id", F.col("id").alias("component")), links)
     places = members.select("tile", "id").distinct()
-    for turn in range(LEADER_ROUNDS):
-        own = labels.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
-        open_rows = places.join(own, places["id"] == own["_id"], "left").select("tile", "id", F.coalesce("_component", "id").alias("component"))
+    turn, n_links, n_pairs = 0, links.count(), tried.count()
+    while True:
+        open_rows = places.join(labels, "id")
         mixed = open_rows.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
         places = written(open_rows.join(mixed, "tile").select("tile", "id", "component", "low", "high"), "jaccard-open")
         if places.isEmpty():
             break
-        if turn < LEADER_ROUNDS - 1:  # one member of the first or last component, by turns, against the other components
-            side = "low" if turn % 2 else "high"
+        leaders_again = turn < LEADER_ROUNDS and n_links > WORTH_A_ROUND * n_pairs
+        if leaders_again:  # one member of the first or last component, by turns, against the other components
+            side = "high" if turn % 2 else "low"
             at = places.where(F.col("component") == F.col(side)).groupBy("tile").agg(F.max("id").alias("head"))
             pairs = places.where(F.col("component") != F.col(side)).join(at, "tile").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
         else:
             pairs = block_pairs(places.select("tile", "id", "component"), some, rule)
-        ordered = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = written(pairs.join(ordered, ["a", "b"], "left_anti"), "jaccard-pairs")
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         more = written(verified(pairs, some, texts, rule), "jaccard-links")
-        tried, links = tried.unionByName(pairs), links.unionByName(more)
-        labels = components(links)
+        turn, n_links, n_pairs = turn + 1, more.count(), pairs.count()
+        if n_links:
+            labels = joined(labels, more)
+        if not leaders_again:
+            break
+        tried = tried.unionByName(pairs)
         places = places.select("tile", "id")
 
     of_component = labels.select(F.col("id").alias("node"), "component")
-    found = of_node.join(of_component, "node", "left").select("id", F.coalesce("component", "node").alias("component"))
+    found = of_node.join(of_component, "node", "left").groupBy("id").agg(F.min(F.coalesce("component", "node")).alias("component"))
     return known.select("id", F.col("n").alias("n_shingles")).join(found, "id", "left").select(
         "id", "n_shingles", F.coalesce("component", "id").alias("component")
     )
