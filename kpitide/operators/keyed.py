@@ -118,18 +118,18 @@ def current_segment(partials: DataFrame, keys: Sequence[str], ttl: int, time: st
     """The partials a key still holds, with ``segment_start`` and ``expires_at``.
 
     A write to any field renews the whole key for ``ttl`` seconds. A write after that finds the key
-    gone and starts afresh, so only the writes since the last such gap count. The windows share one
-    shuffle, and run over partial sums: a key has some rows per batch, however many orders are in them.
+    gone and starts afresh, so only the writes since the last such gap count. The windows run over the distinct write times
+    of a key, one per batch however many rows it wrote, and the rows are joined to what they give.
     """
+    times = partials.select(*keys, time).distinct()
     previous = F.lag(time).over(Window.partitionBy(*keys).orderBy(time))
     begins = previous.isNull() | (F.col(time) >= previous + _seconds(ttl))
-    of_key = Window.partitionBy(*keys)
-    return (
-        partials.withColumn("_begins", F.when(begins, F.col(time)))
-        .withColumn("segment_start", F.max("_begins").over(of_key))
-        .withColumn("expires_at", F.max(time).over(of_key) + _seconds(ttl))
-        .where(F.col(time) >= F.col("segment_start"))
-        .drop("_begins")
+    marked = times.withColumn("_begins", F.when(begins, F.col(time)))
+    segments = marked.groupBy(*keys).agg(
+        F.max("_begins").alias("segment_start"), (F.max(time) + _seconds(ttl)).alias("expires_at")
+    )
+    return partials.join(segments, list(keys)).where(F.col(time) >= F.col("segment_start")).select(
+        *partials.columns, "segment_start", "expires_at"
     )
 
 

@@ -134,6 +134,13 @@ def window_totals(rows: DataFrame, width: str) -> DataFrame:
     )
 
 
+def window_sums(rows: DataFrame, width: str) -> DataFrame:
+    """``window_totals`` with exact amounts, for sums that go on adding up. The windows are those of the times as they are, in UTC."""
+    totals = rows.groupBy(F.window("start_ts", width).alias("window")).agg(_sum("orders"), _sum("succ"), _sum("fee"))
+    bounds = [F.col(f"window.{at}").alias(f"window_{at}") for at in ("start", "end")]
+    return totals.select(*bounds, "orders", "succ", "fee")
+
+
 def batch_totals(rows: DataFrame) -> DataFrame:
     """Daily sums of each batch by itself."""
     totals = sum_by(rows, ["batch_id", "day"], ["succ", "fee", "cost_ms"])

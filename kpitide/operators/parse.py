@@ -21,9 +21,16 @@ PARSED_COLUMNS = {
 TIME_COLUMNS = ["start_no", "end_no", "start_ts", "end_ts", "amount"]
 
 
+# White space of JSON, which may stand around an object.
+JSON_BLANKS = " \t\r\n"
+
+
+def _trimmed(value: Column) -> Column:
+    return F.btrim(value, F.lit(JSON_BLANKS))
+
+
 def _is_object(value: Column) -> Column:
-    # The JSON reader itself accepts text after the object, and an array around it.
-    trimmed = F.trim(value)
+    trimmed = _trimmed(value)
     return trimmed.startswith("{") & trimmed.endswith("}")
 
 
@@ -34,13 +41,19 @@ def drop_empty(df: DataFrame, column: str = "value") -> DataFrame:
 def parse_log(df: DataFrame, column: str = "value") -> DataFrame:
     """Add one column per record field, and ``_corrupt``, to the other columns. A line that is no object has no fields.
 
+    The JSON reader accepts text after an object, so the line is read as the list of one object that it should be.
+
     The record goes through ``inline``: filters on the fields then stay above the parse. On plain
     struct columns the optimizer moves a copy of ``from_json`` into each filter and parses a line several times.
     """
-    text = F.when(_is_object(F.col(column)), F.col(column))
+    listed = F.concat(F.lit(f'{{"{S.LISTED}":['), F.col(column), F.lit("]}"))
+    text = F.when(_is_object(F.col(column)), listed)
     record = F.from_json(text, S.RECHARGE_PARSE_SCHEMA, {"columnNameOfCorruptRecord": S.CORRUPT})
     parsed = df.select("*", F.inline(F.array(record)))
-    return parsed.withColumnsRenamed({field: name for name, field in PARSED_COLUMNS.items()})
+    one = F.size(S.LISTED) == 1
+    fields = [F.when(one, F.get(S.LISTED, F.lit(0))[field]).alias(name) for name, field in PARSED_COLUMNS.items()]
+    corrupt = F.when(one, F.col(S.CORRUPT)).otherwise(F.col(column)).alias(S.CORRUPT)
+    return parsed.select(*df.columns, *fields, corrupt)
 
 
 def amount(chargefee: Column) -> Column:
@@ -97,7 +110,7 @@ def with_reason(parsed: DataFrame, column: str = "value") -> DataFrame:
     """Add ``reason``: why the line is rejected, or NULL for good lines and for other kinds of record."""
     value = F.col(column)
     reason = (
-        F.when(value.isNull() | (F.trim(value) == ""), "empty")
+        F.when(value.isNull() | (_trimmed(value) == ""), "empty")
         .when(~_is_object(value) | F.col(S.CORRUPT).isNotNull(), "bad_json")
         .when(F.col("service_name").isNull(), "missing_service_name")
         .when(equals_ignore_case(F.col("service_name"), S.RECHARGE_SERVICE), _field_problem())

@@ -35,7 +35,7 @@ def top_words(counts: DataFrame, k: int = 10) -> DataFrame:
 
 
 def running_count(
-    df: DataFrame, key: str, order: Sequence[str], name: str = "n", base: DataFrame | None = None
+    df: DataFrame, key: str, order: Sequence[str], name: str = "n", base: DataFrame | None = None, scratch: str | None = None
 ) -> DataFrame:
     """Add the number of rows of the same ``key`` up to and with this one, in the order of unique columns.
 
@@ -45,11 +45,14 @@ def running_count(
     range-partitioned by the order into even blocks, rows are numbered within key and block, and the
     key's count in the blocks before is added. A task holds a key's rows of one block, or one count per block.
 
-    Block numbers depend on sampled bounds, so the blocks are written to the shared folder before they are used twice.
+    Block numbers depend on sampled bounds, so the blocks are written to the shared folder (or to ``scratch``) before they are used twice.
+
+    Rows whose key is null are left out. The join is on plain equality then, which keeps the partitioning of the window, so a token is
+    shuffled once.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "running-count")
-    ranged = df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
+    path = scratch or scratch_path(spark, "running-count")
+    ranged = df.where(F.col(key).isNotNull()).repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
     ranged.write.parquet(path)
     blocks = spark.read.schema(ranged.schema).parquet(path)
 
@@ -58,10 +61,10 @@ def running_count(
     before = per_block.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     if base is not None:
         start = base.select(F.col(key).alias("_base_key"), F.col("n0").alias("_n0"))
-        before = before.join(start, F.col("_key").eqNullSafe(F.col("_base_key")), "left").select(
+        before = before.join(start, F.col("_key") == F.col("_base_key"), "left").select(
             "_key", "_b", (F.col("_before") + F.coalesce("_n0", F.lit(0))).alias("_before")
         )
     within = F.row_number().over(Window.partitionBy(key, "_block").orderBy(*order)).cast("bigint")
     numbered = blocks.withColumn("_within", within)
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_b"))
+    same = (F.col(key) == F.col("_key")) & (F.col("_block") == F.col("_b"))
     return numbered.join(before, same).select(*df.columns, (F.col("_before") + F.col("_within")).alias(name))

@@ -129,17 +129,13 @@ def _by(keys: str, *columns: str) -> str:
     return f"WITH {BASE} SELECT {picked} FROM base GROUP BY {keys}"
 
 
-def _window_sql(unit: str) -> str:
+def window_sql(unit: str) -> str:
     return f"""WITH {BASE}
     SELECT date_trunc('{unit}', start_ts) AS window_start, date_trunc('{unit}', start_ts) + INTERVAL 1 {unit} AS window_end,
            {total('orders')}, {total('succ')}, {money()}
     FROM base GROUP BY ALL"""
 
 
-# The windows a watermark ten minutes behind the newest order has passed.
-CLOSED_WINDOWS_SQL = f"""SELECT * FROM ({_window_sql('minute')}) AS windows
-    WHERE window_end <= (WITH {BASE} SELECT max(start_ts) FROM base) - INTERVAL 10 MINUTE"""
-
 _SPOILT = f"""{LOG},
 spoilt AS (
   SELECT *, seq % 16 AS kind, service_name AS sn, result AS rs, CAST(amount AS VARCHAR) AS fe, province_code AS pc,
@@ -149,7 +145,8 @@ spoilt AS (
   FROM log
 ),
 texts AS (
-  SELECT *, CASE kind WHEN 6 THEN '' WHEN 0 THEN substr(text, 1, 40) ELSE text END AS value
+  SELECT *, CASE kind WHEN 6 THEN '' WHEN 0 THEN substr(text, 1, 40) WHEN 8 THEN text || ' ' || text
+              WHEN 9 THEN chr(10) || chr(9) || text || chr(9) || chr(13) || chr(10) ELSE text END AS value
   FROM (
     SELECT *, '{{' || CASE kind WHEN 1 THEN '' ELSE '"serviceName":"' || sn || '",' END
               || CASE kind WHEN 2 THEN '' ELSE '"bussinessRst":"' || rs || '",' END
@@ -159,7 +156,7 @@ texts AS (
 ),
 reasons AS (
   SELECT *, CASE
-      WHEN kind = 6 THEN 'empty' WHEN kind = 0 THEN 'bad_json' WHEN kind = 1 THEN 'missing_service_name'
+      WHEN kind = 6 THEN 'empty' WHEN kind IN (0, 8) THEN 'bad_json' WHEN kind = 1 THEN 'missing_service_name'
       WHEN lower(service_name) <> 'rechargenotifyreq' THEN NULL
       WHEN kind = 2 THEN 'missing_result' WHEN kind = 3 THEN 'bad_request_id' WHEN kind = 4 THEN 'bad_start_time'
       WHEN kind = 5 THEN 'bad_fee' WHEN kind = 7 THEN 'bad_receive_time' END AS reason
@@ -207,6 +204,13 @@ keyed AS (
   UNION ALL SELECT 'P-every_succNum' || day || hour || '-' || province_code, * FROM base
 )"""
 
+
+def last_value_sql(batch: str = "batch_id") -> str:
+    """The sums of the last batch that wrote each key."""
+    return f"""WITH {_LAST} SELECT key, {batch} AS batch_id, {total('orders')}, {total('succ')}, {money()}, {total('cost_ms')}
+        FROM keyed GROUP BY key, {batch} QUALIFY row_number() OVER (PARTITION BY key ORDER BY {batch} DESC) = 1"""
+
+
 _TTL = f"""{BASE},
 partials AS (
   SELECT day, write_time, sum(orders) AS orders, sum(succ) AS succ, sum(fee) AS fee, sum(cost_ms) AS cost_ms
@@ -314,8 +318,7 @@ QUERIES = {
     ),
     "kpi_last_value": Query(
         kpi_last_value,
-        f"""WITH {_LAST} SELECT key, batch_id, {total('orders')}, {total('succ')}, {money()}, {total('cost_ms')}
-            FROM keyed GROUP BY key, batch_id QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch_id DESC) = 1""",
+        last_value_sql(),
     ),
     "daily_success_counter": Query(
         daily_success_counter,
@@ -357,7 +360,7 @@ QUERIES = {
             FROM (SELECT day, hour, minute, batch_id, sum(fee) AS fee FROM base GROUP BY ALL) AS per_batch
             GROUP BY day, hour, minute""",
     ),
-    "kpi_minute_window": Query(_window("1 minute"), _window_sql("minute")),
-    "kpi_hour_window": Query(_window("1 hour"), _window_sql("hour")),
-    "kpi_day_window": Query(_window("1 day"), _window_sql("day")),
+    "kpi_minute_window": Query(_window("1 minute"), window_sql("minute")),
+    "kpi_hour_window": Query(_window("1 hour"), window_sql("hour")),
+    "kpi_day_window": Query(_window("1 day"), window_sql("day")),
 }

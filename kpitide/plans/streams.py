@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from kpitide.operators import keyed
 from kpitide.plans import words as word_plans
 from kpitide.plans.fixture_sql import tokens
-from kpitide.plans.recharge import CLOSED_WINDOWS_SQL, grouping_sets_sql
+from kpitide.plans import recharge
+from kpitide.plans.recharge import COUNTER_PREFIX, grouping_sets_sql, window_sql
 from kpitide.plans.registry import Query
 from kpitide.session import scratch_path
 from kpitide.sources import tables
@@ -16,11 +17,11 @@ from kpitide.streaming import jobs
 
 
 def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.recharge_log(tables.stream_table(spark, sf_dir, "events", tables.EVENTS_SCHEMA))
+    return tables.recharge_log(tables.stream_table(spark, sf_dir, "events"))
 
 
 def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.word_lines(tables.stream_table(spark, sf_dir, "conversations", tables.CONVERSATIONS_SCHEMA))
+    return tables.word_lines(tables.stream_table(spark, sf_dir, "conversations"))
 
 
 def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,20 +48,36 @@ def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-running-count")
     totals = jobs.word_sums(spark, f"{path}/totals")
     seed = word_plans.seed(spark, sf_dir)
-    lines = _line_stream(spark, sf_dir)
-    query = jobs.running_word_stream(
-        lines, word_plans.LINE_KEYS, totals, f"{path}/out", f"{path}/checkpoint", seed=seed
-    )
-    jobs.run(query)
-    return spark.read.parquet(f"{path}/out").drop("batch_id")
+    table, parts = tables.stream_parts(spark, sf_dir, "conversations", "conv_id")
+    for _ in parts:  # a batch each: the job goes on from its checkpoint
+        jobs.run(
+            jobs.running_word_stream(
+                tables.word_lines(table), word_plans.LINE_KEYS, totals, f"{path}/out", f"{path}/checkpoint", seed=seed, compact_every=2
+            )
+        )
+    return spark.read.parquet(f"{path}/out").drop("run", "batch_id")
 
 
 def stream_minute_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-window")
-    jobs.run(jobs.window_stream(_log_stream(spark, sf_dir), f"{path}/out", f"{path}/checkpoint"))
-    written = spark.read.parquet(f"{path}/out")
-    bounds = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")]
-    return written.select(*bounds, "orders", "succ", "money")
+    sums = jobs.window_sums(spark, f"{path}/windows")
+    jobs.run(jobs.window_stream(_log_stream(spark, sf_dir), sums, f"{path}/checkpoint"))
+    return sums.totals().select("window_start", "window_end", "orders", "succ", F.col("fee").cast("double").alias("money"))
+
+
+def stream_success_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-counter")
+    sums = jobs.counter_sums(spark, f"{path}/counters")
+    jobs.run(jobs.counter_stream(_log_stream(spark, sf_dir), sums, COUNTER_PREFIX, f"{path}/checkpoint"))
+    return sums.totals()
+
+
+def stream_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-last-value")
+    table, parts = tables.stream_parts(spark, sf_dir, "events", "event_id")
+    for _ in parts:
+        jobs.run(jobs.overwrite_stream(tables.recharge_log(table), f"{path}/kpis", f"{path}/checkpoint", compact_every=2))
+    return jobs.last_kpis(spark, f"{path}/kpis")
 
 
 def stream_seeded_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +95,9 @@ def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "stream_minute_window": Query(stream_minute_window, CLOSED_WINDOWS_SQL),
+    "stream_minute_window": Query(stream_minute_window, window_sql("minute")),
+    "stream_success_counter": Query(stream_success_counter, recharge.QUERIES["daily_success_counter"].sql),
+    "stream_last_value": Query(stream_last_value, recharge.last_value_sql("seq % 4")),
     "stream_seeded_word_count": Query(stream_seeded_word_count, word_plans.QUERIES["seeded_word_count"].sql),
     "stream_top10_words": Query(stream_top10_words, word_plans.QUERIES["top10_words"].sql),
     "stream_kpi": Query(stream_kpi, grouping_sets_sql()),
@@ -89,7 +108,7 @@ QUERIES = {
         stream_running_count,
         f"""WITH {tokens()}, {word_plans.SEED_SQL}
             SELECT conv_id, turn, line, pos, t.word,
-                   coalesce(n0, 0) + count(*) OVER (PARTITION BY t.word ORDER BY conv_id, turn, line, pos
+                   coalesce(n0, 0) + count(*) OVER (PARTITION BY t.word ORDER BY conv_id % 4, conv_id, turn, line, pos
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
             FROM tokens t LEFT JOIN seed ON seed.word = t.word""",
     ),

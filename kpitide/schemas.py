@@ -20,12 +20,15 @@ RECHARGE_SERVICE = "reChargeNotifyReq"
 SUCCESS = "0000"
 
 CORRUPT = "_corrupt"
+LISTED = "_listed"
 
 # Every field is read as text: amounts come both bare and quoted, and a typed field would lose the quoted ones.
 RECHARGE_FIELDS = T.StructType(
     [T.StructField(name, T.StringType()) for name in (SERVICE_NAME, RESULT, FEE, PROVINCE_CODE, REQUEST_ID, RECEIVE_TIME)]
 )
-RECHARGE_PARSE_SCHEMA = T.StructType([*RECHARGE_FIELDS.fields, T.StructField(CORRUPT, T.StringType())])
+RECHARGE_PARSE_SCHEMA = T.StructType(
+    [T.StructField(LISTED, T.ArrayType(RECHARGE_FIELDS)), T.StructField(CORRUPT, T.StringType())]
+)
 
 # Province codes and names.
 PROVINCES = [

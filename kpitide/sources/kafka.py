@@ -98,8 +98,13 @@ def records(raw: DataFrame) -> DataFrame:
     )
 
 
+def read_raw_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """Records with their bytes as they are."""
+    return spark.readStream.format("kafka").options(**options).load()
+
+
 def read_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    return records(spark.readStream.format("kafka").options(**options).load())
+    return records(read_raw_stream(spark, options))
 
 
 def read_batch(spark: SparkSession, options: dict[str, str]) -> DataFrame:

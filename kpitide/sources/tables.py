@@ -6,34 +6,47 @@ Every column is an expression of its own row, so deriving an input takes no shuf
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpitide import schemas as S
 from kpitide.operators.words import text_lines
+from kpitide.session import scratch_path
 
 BATCH_MINUTES = 10
 UNKNOWN_CODES = ["999", "000"]
 RECORD_PARTITIONS = 4
-FILES_PER_BATCH = 1000
+STREAM_BATCHES = 4
 
-EVENTS_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
-CONVERSATIONS_SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_table(
-    spark: SparkSession, sf_dir: str, name: str, schema: str, files_per_batch: int = FILES_PER_BATCH
-) -> DataFrame:
-    """The table's files as a stream. A cap on a micro-batch keeps what is lost with a failed one small."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    # The file stream takes a folder or a pattern, and a table may be a single file; the pattern matches both.
-    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+def stream_table(spark: SparkSession, sf_dir: str, name: str, batches: int = STREAM_BATCHES) -> DataFrame:
+    """The table as a stream of about ``batches`` micro-batches: dealt to files in the shared folder, some of which make a batch."""
+    df = table(spark, sf_dir, name)
+    files = batches * -(-max(batches, spark.sparkContext.defaultParallelism) // batches)
+    path = scratch_path(spark, f"stream-{name}")
+    df.repartition(files).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files // batches).parquet(path)
+
+
+def stream_parts(spark: SparkSession, sf_dir: str, name: str, key: str, parts: int = STREAM_BATCHES) -> tuple[DataFrame, Iterator[int]]:
+    """The table as a stream of a growing folder, and its parts: each step adds the rows whose key leaves that remainder."""
+    df = table(spark, sf_dir, name)
+    path = scratch_path(spark, f"parts-{name}")
+    spark.createDataFrame([], df.schema).write.parquet(path)
+
+    def add() -> Iterator[int]:
+        for part in range(parts):
+            df.where(F.pmod(F.col(key), F.lit(parts)) == part).write.mode("append").parquet(path)
+            yield part
+
+    return spark.readStream.schema(df.schema).parquet(path), add()
 
 
 def batch_id() -> Column:
@@ -90,7 +103,7 @@ DAMAGE_CYCLE = 16
 
 
 def damaged_log(events: DataFrame) -> DataFrame:
-    """The recharge log with some lines spoilt, one way after the other."""
+    """The recharge log with some lines spoilt, one way after the other, and some only with white space around them."""
     fields = _fields()
     kind = F.pmod("event_id", F.lit(DAMAGE_CYCLE))
 
@@ -111,6 +124,8 @@ def damaged_log(events: DataFrame) -> DataFrame:
         .when(kind == 5, having(**{S.FEE: F.lit("abc")}))
         .when(kind == 6, F.lit(""))
         .when(kind == 7, having(**{S.RECEIVE_TIME: F.lit("soon")}))
+        .when(kind == 8, F.concat(whole, F.lit(" "), whole))
+        .when(kind == 9, F.concat(F.lit("\n\t"), whole, F.lit("\t\r\n")))
         .otherwise(whole)
     )
     return events.select(F.col("event_id").alias("seq"), F.inline(F.array(F.struct(value.alias("value")))))

@@ -15,21 +15,31 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from kpitide import schemas as S
-from kpitide.operators import kpi, words
+from kpitide.operators import keyed, kpi, words
 from kpitide.operators.parse import rejected_records
 from kpitide.operators.project import base_rows
+from kpitide.session import scratch_path
 from kpitide.sources import kafka
-from kpitide.streaming.partials import PartialSums
-
-# Seconds between micro-batches in the job kinds.
-RUNNING_COUNT_EVERY = "1 seconds"
-KPI_EVERY = "2 seconds"
-PER_BATCH_EVERY = "5 seconds"
-CUMULATIVE_COUNT_EVERY = "20 seconds"
+from kpitide.sources.folders import Folders
+from kpitide.streaming.partials import SEED_BATCH, PartialSums, run_number
 
 # Name of the KPI query in its progress reports.
 KPI_QUERY = "kpi"
 
+# Newest micro-batches of which a whole result is kept.
+KEEP_BATCHES = 3
+
+WINDOW_KEYS = ["window_start", "window_end"]
+WINDOW_SUMS = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampNTZType()),
+        T.StructField("window_end", T.TimestampNTZType()),
+        T.StructField("orders", T.LongType()),
+        T.StructField("succ", T.LongType()),
+        T.StructField("fee", S.MONEY_SUM),
+    ]
+)
+COUNTER_SUMS = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.LongType())])
 WORD_SUMS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
@@ -62,15 +72,24 @@ def kpi_stream(
     column: str = "value",
     write_time: Callable[[int], Column] | None = None,
     compact_every: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """All KPI grains of each micro-batch, from one pass over it, into the stored cells.
 
-    No state is kept in Spark: an order adds to its own day however late it comes.
+    No state is kept in Spark: an order adds to its own day however late it comes. With ``rejects``, a path, the lines that cannot
+    be counted are written from the same pass, one folder per run and batch.
     """
+    sums.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        if rejects:
+            batch = batch.persist()
         cells = kpi.all_grains(base_rows(batch, column=column))
         sums.put(cells, batch_id, write_time(batch_id) if write_time else None)
+        if rejects:
+            bad = rejected_records(batch, column)
+            bad.write.mode("overwrite").parquet(f"{rejects}/run={sums.run}/batch_id={batch_id}")
+            batch.unpersist()
         if compact_every and batch_id and batch_id % compact_every == 0:
             sums.compact(batch_id - 1)
 
@@ -78,12 +97,25 @@ def kpi_stream(
 
 
 def daily_totals_stream(
-    log: DataFrame, show: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
+    log: DataFrame,
+    show: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None = None,
+    counters: PartialSums | None = None,
+    prefix: str = "",
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Daily success count, amount and duration of each micro-batch by itself, handed to ``show``."""
+    """Daily success count, amount and duration of each micro-batch by itself, handed to ``show``; counts also add to ``counters``."""
+    if counters is not None:
+        counters.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        show(kpi.batch_totals(base_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))), batch_id)
+        rows = base_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        show(kpi.batch_totals(rows), batch_id)
+        if counters is not None:
+            counters.put(keyed.success_counter(rows, prefix), batch_id)
+            if compact_every and batch_id and batch_id % compact_every == 0:
+                counters.compact(batch_id - 1)
 
     return start(log.writeStream.foreachBatch(put), checkpoint, every)
 
@@ -93,40 +125,141 @@ def reject_stream(log: DataFrame, path: str, checkpoint: str, every: str | None
     return start(rejected_records(log).writeStream.format("parquet").option("path", path), checkpoint, every)
 
 
+def window_sums(spark: SparkSession, path: str) -> PartialSums:
+    return PartialSums(spark, path, WINDOW_SUMS, WINDOW_KEYS).create()
+
+
 def window_stream(
-    log: DataFrame, path: str, checkpoint: str, width: str = "1 minute", late: str = "10 minutes", every: str | None = None
+    log: DataFrame,
+    sums: PartialSums,
+    checkpoint: str,
+    width: str = "1 minute",
+    every: str | None = None,
+    compact_every: int | None = None,
+) -> StreamingQuery:
+    """Sums by tumbling window of the order's own time, in UTC. An order adds to its window however late it comes."""
+    sums.begin(checkpoint)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        sums.put(kpi.window_sums(base_rows(batch), width), batch_id)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            sums.compact(batch_id - 1)
+
+    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+
+
+def counter_sums(spark: SparkSession, path: str) -> PartialSums:
+    return PartialSums(spark, path, COUNTER_SUMS, ["key"]).create()
+
+
+def counter_stream(
+    log: DataFrame, sums: PartialSums, prefix: str, checkpoint: str, every: str | None = None, compact_every: int | None = None
+) -> StreamingQuery:
+    """The stored success counter of each day, under ``prefix`` and the day."""
+    sums.begin(checkpoint)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        sums.put(keyed.success_counter(base_rows(batch), prefix), batch_id)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            sums.compact(batch_id - 1)
+
+    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+
+
+def overwrite_stream(
+    log: DataFrame, path: str, checkpoint: str, every: str | None = None, compact_every: int = 50
 ) -> StreamingQuery:
-    """Sums by tumbling window, each written once when the watermark has passed it; later orders are left out.
+    """KPIs that each micro-batch overwrites: of each key the sums of the last batch that wrote it. ``last_kpis`` reads them."""
+    spark = log.sparkSession
+    run = run_number(spark, path, checkpoint)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        cells = kpi.all_grains(base_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")), "batch_id")
+        written = keyed.last_batch_kpis(cells).withColumn("run", F.lit(run).cast("bigint"))
+        written.write.mode("overwrite").parquet(f"{path}/batches/{run}.{batch_id}")
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            _fold_last(spark, path, run, batch_id - 1)
 
-    ``kpi_stream`` is the job for orders that may come at any time.
+    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+
+
+def _versions(folders: Folders) -> list[tuple[int, int]]:
+    return sorted(tuple(map(int, name.split("."))) for name in folders.names("batches"))
+
+
+def _fold_last(spark: SparkSession, path: str, run: int, upto: int) -> None:
+    """Put what batches up to one that is done have left into that batch's folder beside it, then delete them.
+
+    Until the last of them is gone the folded rows stand twice, which changes no newest value.
     """
-    rows = base_rows(log).withColumn("start_ts", F.col("start_ts").cast("timestamp")).withWatermark("start_ts", late)
-    totals = kpi.window_totals(rows, width)
-    return start(totals.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, every)
+    folders = Folders(spark, path)
+    done = [v for v in _versions(folders) if v <= (run, upto)]
+    if len(done) < 2:
+        return
+    rows = _newest_kpis(spark.read.parquet(*[f"{path}/batches/{r}.{b}" for r, b in done]))
+    rows.write.mode("overwrite").parquet(f"{path}/folded/{run}.{upto}")
+    for old in folders.names("folded"):
+        if old != f"{run}.{upto}":
+            folders.drop(f"folded/{old}")
+    for r, b in done:
+        folders.drop(f"batches/{r}.{b}")
+
 
+def _newest_kpis(written: DataFrame) -> DataFrame:
+    values = ["orders", "succ", "money", "cost_ms", "batch_id", "run"]
+    newest = written.withColumn("_version", F.struct("run", "batch_id"))
+    return newest.groupBy("key").agg(*[F.max_by(v, "_version").alias(v) for v in values])
+
+
+def last_kpis(spark: SparkSession, path: str) -> DataFrame:
+    """What overwriting has left under each key."""
+    folders = Folders(spark, path)
+    at = [f"{path}/{kind}/{name}" for kind in ("folded", "batches") for name in folders.names(kind)]
+    return _newest_kpis(spark.read.parquet(*at)).drop("run")
+
+
+def _replace_batch(spark: SparkSession, path: str, keep: int | None = None) -> Callable[[DataFrame, int], None]:
+    """Write each micro-batch to its own folder; of whole results only the newest ``keep``."""
+    folders = Folders(spark, path)
 
-def _replace_batch(path: str) -> Callable[[DataFrame, int], None]:
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        for name in folders.names() if keep else []:
+            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= batch_id - keep:
+                folders.drop(name)
 
     return put
 
 
 def cumulative_word_stream(
-    lines: DataFrame, path: str, checkpoint: str, delimiter: str = ",", every: str | None = None
+    lines: DataFrame, path: str, checkpoint: str, delimiter: str = ",", every: str | None = None, keep: int = KEEP_BATCHES
 ) -> StreamingQuery:
-    """Count of every word so far, all of them after each micro-batch, under its ``batch_id``."""
+    """Count of every word so far, all of them after each micro-batch, under its ``batch_id``. The newest ``keep`` results stay."""
     counts = words.word_counts(words.tokenize(lines, delimiter=delimiter))
-    return start(counts.writeStream.outputMode("complete").foreachBatch(_replace_batch(path)), checkpoint, every)
+    put = _replace_batch(lines.sparkSession, path, keep)
+    return start(counts.writeStream.outputMode("complete").foreachBatch(put), checkpoint, every)
 
 
 def seeded_word_stream(
     lines: DataFrame, seed: DataFrame, path: str, checkpoint: str, delimiter: str = " ", every: str | None = None
 ) -> StreamingQuery:
-    """Count, on top of the seed, of the words that came in each micro-batch."""
+    """Count, on top of the seed, of the words that came in each micro-batch. The seed is computed once, at the start."""
     counts = words.word_counts(words.tokenize(lines, delimiter=delimiter))
-    updates = words.seeded(counts, seed)
-    return start(updates.writeStream.outputMode("update").foreachBatch(_replace_batch(path)), checkpoint, every)
+    seed = stored_seed(seed)
+    replace = _replace_batch(lines.sparkSession, path)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        replace(words.seeded(batch, seed), batch_id)
+
+    return start(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint, every)
+
+
+def stored_seed(seed: DataFrame) -> DataFrame:
+    """The seed as a table in the shared folder."""
+    spark = seed.sparkSession
+    path = scratch_path(spark, "seed")
+    seed.write.parquet(path)
+    return spark.read.schema(seed.schema).parquet(path)
 
 
 def top_word_stream(
@@ -134,7 +267,7 @@ def top_word_stream(
 ) -> StreamingQuery:
     """The most frequent words so far, after each micro-batch."""
     counts = words.word_counts(words.tokenize(lines, delimiter=delimiter))
-    replace = _replace_batch(path)
+    replace = _replace_batch(lines.sparkSession, path, KEEP_BATCHES)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         replace(words.top_words(batch, k), batch_id)
@@ -151,23 +284,30 @@ def running_word_stream(
     seed: DataFrame | None = None,
     delimiter: str = " ",
     every: str | None = None,
+    compact_every: int | None = 100,
 ) -> StreamingQuery:
     """One output row per token: the word and its count so far, with the token itself.
 
-    ``keys`` order the lines within a micro-batch. The counts between batches are partial sums in ``totals``, so a word
-    that makes up much of a batch needs no task of its own, as it would with grouped state.
+    ``keys`` order the lines within a micro-batch; between batches the order is that of their arrival. The counts between batches are
+    partial sums in ``totals``, so a word that makes up much of a batch needs no task of its own, as it would with grouped state.
+    The seed goes into ``totals`` once, before the first batch of the first run.
     """
     spark = lines.sparkSession
     order = [*keys, "pos"]
+    if seed is not None and not totals.has_batches():
+        totals.put(seed.withColumnRenamed("n0", "n"), SEED_BATCH)
+    totals.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         base = totals.totals(before=batch_id).withColumnRenamed("n", "n0")
-        if seed is not None:
-            base = base.unionByName(seed).groupBy("word").agg(F.sum("n0").alias("n0"))
         tokens = words.tokenize(batch, *keys, delimiter=delimiter)
-        out = f"{path}/batch_id={batch_id}"
-        words.running_count(tokens, "word", order, base=base).write.mode("overwrite").parquet(out)
+        out = f"{path}/run={totals.run}/batch_id={batch_id}"
+        scratch = scratch_path(spark, "running-count")
+        words.running_count(tokens, "word", order, base=base, scratch=scratch).write.mode("overwrite").parquet(out)
+        Folders(spark, scratch).drop("")
         totals.put(words.word_counts(spark.read.parquet(out)), batch_id)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            totals.compact(batch_id - 1)
 
     return start(lines.writeStream.foreachBatch(put), checkpoint, every)
 
@@ -181,10 +321,16 @@ def console_stream(
 
 
 def kafka_stream(
-    lines: DataFrame, servers: str, topic: str, checkpoint: str, every: str | None = None
+    lines: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    every: str | None = None,
+    key: str | None = None,
+    partition: str | None = None,
 ) -> StreamingQuery:
-    """Write lines to a topic; trigger and files per batch set the pace."""
-    writer = kafka.to_messages(lines).writeStream.format("kafka")
+    """Write lines to a topic; trigger and files per batch set the pace. ``key`` and ``partition`` name columns of the lines."""
+    writer = kafka.to_messages(lines, key=key, partition=None if partition is None else F.col(partition)).writeStream.format("kafka")
     writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
     return start(writer, checkpoint, every)
 
@@ -207,14 +353,15 @@ class LedgerListener(StreamingQueryListener):
     """Stores the end offsets of a Kafka query's batches, each after its batch is done.
 
     The ledger never runs ahead of the results. Recovery itself goes by the checkpoint; the ledger is for
-    jobs that start without one, through ``resume_offsets``.
+    jobs that start without one, through ``resume_offsets``. Only the newest ``KEEP_BATCHES`` entries of a run stay.
     """
 
-    def __init__(self, spark: SparkSession, path: str, group: str, query_name: str):
+    def __init__(self, spark: SparkSession, path: str, group: str, query_name: str, run: int = 0):
         self.spark = spark
         self.path = path
         self.group = group
         self.query_name = query_name
+        self.run = run
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -227,7 +374,11 @@ class LedgerListener(StreamingQueryListener):
     def store(self, end_offsets: list[str], batch_id: int) -> None:
         for n, end in enumerate(end_offsets):
             rows = kafka.ledger_from_progress(self.spark, end, self.group)
-            rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}/source={n}")
+            rows.write.mode("overwrite").parquet(f"{self.path}/run={self.run}/batch_id={batch_id}/source={n}")
+        folders = Folders(self.spark, f"{self.path}/run={self.run}")
+        for name in folders.names():
+            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= batch_id - KEEP_BATCHES:
+                folders.drop(name)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -237,7 +388,19 @@ class LedgerListener(StreamingQueryListener):
 
 
 def stored_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Newest stored offset of each partition."""
-    written = spark.read.parquet(path)
-    newest = written.groupBy("topic", "groupid", "partitions").agg(F.max_by("offset", "batch_id").alias("offset"))
-    return newest
+    """Newest stored offset of each partition: of the newest run, and in it of the newest batch."""
+    written = spark.read.parquet(path).withColumn("_version", F.struct("run", "batch_id"))
+    return written.groupBy("topic", "groupid", "partitions").agg(F.max_by("offset", "_version").alias("offset"))
+
+
+def watch(queries: list[StreamingQuery]) -> None:
+    """Wait until all queries have ended. If one fails, stop the others and raise its error."""
+    waiting = list(queries)
+    try:
+        while waiting:
+            for query in list(waiting):
+                if query.awaitTermination(1):
+                    waiting.remove(query)
+    finally:
+        for query in waiting:
+            query.stop()

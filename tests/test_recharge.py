@@ -190,3 +190,14 @@ def test_a_write_to_one_field_renews_the_whole_key(spark):
     )
     held = keyed.alive_at(df, ["key"], 24 * HOUR, F.lit(datetime(2024, 1, 2, 12)))
     assert {r["field"] for r in held.collect()} == {"a", "b"}
+
+
+def test_white_space_around_an_object_and_text_after_it(spark):
+    whole = line()
+    good = [whole, whole + "\n", whole + "\t", whole + "\r\n", "\n" + whole, "\t\r\n " + whole]
+    bad = [f"{whole} {whole}", f"{whole}{whole}", f"{whole},{whole}", f"{whole} x", f'{whole},"x":{whole}', f"[{whole}]", "\x0b" + whole]
+    df = spark.createDataFrame([(v,) for v in good + bad], "value string")
+    assert parse.recharge_records(df).count() == len(good)
+    assert sorted(r["value"] for r in parse.rejected_records(df).collect()) == sorted(bad)
+    blank = spark.createDataFrame([(" \n",), ("\t",)], "value string")
+    assert {r["reason"] for r in parse.rejected_records(blank).collect()} == {"empty"}

@@ -140,7 +140,7 @@ def test_a_compaction_cut_short_is_not_read(spark, tmp_path):
     put_words(spark, sums, 1, a=2)
     # A base without its entry among the finished ones.
     junk = spark.createDataFrame([("a", 99, None)], sums.schema)
-    junk.write.parquet(str(tmp_path / "w" / "base" / "upto=0"))
+    junk.write.parquet(str(tmp_path / "w" / "base" / "run=0" / "upto=0"))
     assert held(sums.totals()) == {"a": 3}
     sums.compact(0)
     assert held(sums.totals()) == {"a": 3}
@@ -218,20 +218,99 @@ def test_running_count_goes_on_over_batches_and_restarts(spark, folder, tmp_path
     assert run() == first + [("b", 1), ("a", 5)]
 
 
-def test_windows_close_behind_the_watermark(spark, folder, tmp_path):
-    folder.put(record(0), record(0), record(1))
-    folder.put(record(30))
-    folder.put(record(31))
-    # The window of minute 0 was written with the batch before; minute 29 is late but within bounds.
-    folder.put(record(0), record(29))
-    folder.put(record(60))
-    folder.put(record(90))
-    out = str(tmp_path / "out")
-    jobs.run(jobs.window_stream(folder.stream(spark), out, str(tmp_path / "cp")))
-    rows = spark.read.parquet(out).orderBy("window_start").collect()
-    got = {r["window_start"].strftime("%H:%M"): (r["orders"], r["money"]) for r in rows}
-    once = {minute: (1, 1.25) for minute in ("10:01", "10:29", "10:30", "10:31", "11:00")}
-    assert got == {"10:00": (2, 2.5), **once}
+@pytest.mark.parametrize("files", [1, 20])
+def test_windows_lose_no_late_order(spark, folder, tmp_path, files):
+    lines = [record(m) for m in [0, 0, 1, 30, 31, 0, 29, 60, 90, 2, 5, 61, 0, 1, 45, 46, 47, 48, 200, 3]]
+    for i in range(files):
+        folder.put(*lines[i::files])
+    sums = jobs.window_sums(spark, str(tmp_path / "windows"))
+    jobs.run(jobs.window_stream(folder.stream(spark), sums, str(tmp_path / "cp"), compact_every=7))
+    log = spark.createDataFrame([(v,) for v in lines], "value string")
+    whole = kpi.window_sums(base_rows(log), "1 minute")
+    assert as_set(sums.totals().select(*whole.columns)) == as_set(whole)
+
+
+def test_windows_do_not_follow_the_session_zone(spark, folder, tmp_path):
+    folder.put(record(0))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        sums = jobs.window_sums(spark, str(tmp_path / "windows"))
+        jobs.run(jobs.window_stream(folder.stream(spark), sums, str(tmp_path / "cp"), width="1 day"))
+        assert sums.totals().first()["window_start"] == datetime(2024, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_new_run_adds_to_what_the_old_one_stored(spark, tmp_path):
+    path = str(tmp_path / "w")
+    sums = jobs.word_sums(spark, path).begin(str(tmp_path / "cp1"))
+    for batch in range(4):
+        put_words(spark, sums, batch, a=1)
+    again = jobs.word_sums(spark, path).begin(str(tmp_path / "cp2"))
+    put_words(spark, again, 0, a=1)
+    put_words(spark, again, 1, a=1)
+    assert held(again.totals()) == {"a": 6} and held(again.totals(before=1)) == {"a": 5}
+    again.compact(0)
+    put_words(spark, again, 2, a=1)
+    assert held(again.totals()) == {"a": 7}
+    same = jobs.word_sums(spark, path).begin(str(tmp_path / "cp2"))
+    assert same.run == again.run
+    put_words(spark, same, 2, a=1)
+    assert held(same.totals()) == {"a": 7}
+    with pytest.raises(ValueError):
+        jobs.word_sums(spark, path).begin(str(tmp_path / "cp1"))
+
+
+def test_orders_count_once_over_a_restart_without_checkpoint(spark, folder, tmp_path):
+    sums = jobs.kpi_sums(spark, str(tmp_path / "cells"))
+    for i in range(3):
+        folder.put(record(i))
+    jobs.run(jobs.kpi_stream(folder.stream(spark), sums, str(tmp_path / "cp"), compact_every=2))
+    later = Folder(tmp_path / "later")  # what comes after the stored offsets
+    for i in range(3):
+        later.put(record(10 + i))
+    sums = jobs.kpi_sums(spark, str(tmp_path / "cells"))
+    jobs.run(jobs.kpi_stream(later.stream(spark), sums, str(tmp_path / "cp-new"), compact_every=2))
+    assert kpi.of_grain(sums.totals(), "day").first()["orders"] == 6
+
+
+@pytest.mark.parametrize("ttl", [None, 3600])
+def test_folders_stay_few(spark, tmp_path, ttl):
+    sums = jobs.word_sums(spark, str(tmp_path / "w"), ttl=ttl).begin(str(tmp_path / "cp"))
+    for batch in range(24):
+        put_words(spark, sums, batch, datetime(2024, 1, 1, 0, batch), a=1)
+        if batch and batch % 4 == 0:
+            sums.compact(batch - 1)
+            assert len(list((tmp_path / "w" / "batches" / f"run={sums.run}").iterdir())) <= 10
+    assert held(sums.totals()) == {"a": 24}
+    assert len(list((tmp_path / "w" / "compacted").iterdir())) <= 2
+
+
+def test_overwritten_kpis_and_counters(spark, folder, tmp_path):
+    for lines in ([record(1), record(2)], [record(1)], [record(70)], [record(1, day=2)]):
+        folder.put(*lines)
+    path = str(tmp_path / "last")
+    jobs.run(jobs.overwrite_stream(folder.stream(spark), path, str(tmp_path / "cp"), compact_every=2))
+    last = {r["key"]: (r["orders"], r["batch_id"]) for r in jobs.last_kpis(spark, path).collect()}
+    assert last["totalA-20240101"] == (1, 2) and last["totalA-20240102"] == (1, 3)
+    assert last["succ_everyminC-202401011001"] == (1, 1) and last["succ_everyminC-202401011002"] == (1, 0)
+    counters = jobs.counter_sums(spark, str(tmp_path / "counters"))
+    jobs.run(jobs.counter_stream(folder.stream(spark), counters, "S-", str(tmp_path / "cp2"), compact_every=2))
+    assert {r["key"]: r["value"] for r in counters.totals().collect()} == {"S-20240101": 4, "S-20240102": 1}
+
+
+def test_a_failed_query_is_reported(spark, folder, tmp_path):
+    folder.put("a")
+
+    def fail(batch, batch_id):
+        raise ValueError("no disk")
+
+    slow = jobs.console_stream(folder.stream(spark), str(tmp_path / "cp1"), every="1 seconds")
+    bad = jobs.start(folder.stream(spark).writeStream.foreachBatch(fail), str(tmp_path / "cp2"), "1 seconds")
+    with pytest.raises(Exception, match="no disk"):
+        jobs.watch([slow, bad])
+    assert not slow.isActive
 
 
 def test_rejects_are_stored_and_the_rest_goes_on(spark, folder, tmp_path):
@@ -275,8 +354,13 @@ def test_ledger_of_a_query(spark, tmp_path):
     listener.store(['{"t":{"0":5,"1":3}}'], 1)
     listener.store(['{"t":{"0":9}}'], 2)
     listener.store(['{"t":{"0":9}}'], 2)
-    got = {(r["topic"], r["groupid"], r["partitions"]): r["offset"] for r in jobs.stored_ledger(spark, path).collect()}
-    assert got == {("t", "g", 0): 9, ("t", "g", 1): 3}
+
+    def stored():
+        return {(r["topic"], r["groupid"], r["partitions"]): r["offset"] for r in jobs.stored_ledger(spark, path).collect()}
+
+    assert stored() == {("t", "g", 0): 9, ("t", "g", 1): 3}
+    jobs.LedgerListener(spark, path, "g", "kpi", run=1).store(['{"t":{"0":20}}'], 0)
+    assert stored()[("t", "g", 0)] == 20
 
 
 def test_one_connection_per_partition(spark, tmp_path):
