@@ -118,21 +118,29 @@ def current_segment(partials: DataFrame, keys: Sequence[str], ttl: int, time: st
     """The partials a key still holds, with ``segment_start`` and ``expires_at``.
 
     A write to any field renews the whole key for ``ttl`` seconds. A write after that finds the key
-    gone and starts afresh, so only the writes since the last such gap count. The windows run over the distinct write times
-    of a key, one per batch however many rows it wrote, and the rows are joined to what they give.
+    gone and starts afresh, so only the writes since the last such gap count. The windows share one
+    shuffle. They are for partials with one row per key and batch; ``held_cells`` is for many.
     """
-    times = partials.select(*keys, time).distinct()
     previous = F.lag(time).over(Window.partitionBy(*keys).orderBy(time))
     begins = previous.isNull() | (F.col(time) >= previous + _seconds(ttl))
-    marked = times.withColumn("_begins", F.when(begins, F.col(time)))
-    segments = marked.groupBy(*keys).agg(
-        F.max("_begins").alias("segment_start"), (F.max(time) + _seconds(ttl)).alias("expires_at")
-    )
-    return partials.join(segments, list(keys)).where(F.col(time) >= F.col("segment_start")).select(
-        *partials.columns, "segment_start", "expires_at"
+    of_key = Window.partitionBy(*keys)
+    return (
+        partials.withColumn("_begins", F.when(begins, F.col(time)))
+        .withColumn("segment_start", F.max("_begins").over(of_key))
+        .withColumn("expires_at", F.max(time).over(of_key) + _seconds(ttl))
+        .where(F.col(time) >= F.col("segment_start"))
+        .drop("_begins")
     )
 
 
+def held_cells(cells: DataFrame, keys: Sequence[str], ttl: int, time: str = "write_time") -> DataFrame:
+    """``current_segment`` of stored cells, of which a key has many per batch: the windows run over its distinct write times."""
+    times = current_segment(cells.select(*keys, time).distinct(), keys, ttl, time)
+    segments = times.select(*keys, "segment_start", "expires_at").distinct()
+    inside = F.col(time) >= F.col("segment_start")
+    return cells.join(segments, list(keys)).where(inside).select(*cells.columns, "segment_start", "expires_at")
+
+
 def alive_at(partials: DataFrame, keys: Sequence[str], ttl: int, as_of: Column, time: str = "write_time") -> DataFrame:
     """The partials of the keys that are alive at ``as_of``, counting only what was written by then."""
     written = partials.where(F.col(time) <= as_of)

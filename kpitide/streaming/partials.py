@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpitide.operators.keyed import current_segment
+from kpitide.operators.keyed import held_cells
 from kpitide.sources.folders import Folders
 
 NO_BATCH = -1
@@ -132,7 +132,7 @@ class PartialSums:
         return entries.groupBy(*self.keys, *extra).agg(*sums)
 
     def _held(self, entries: DataFrame) -> DataFrame:
-        return entries if self.ttl is None else current_segment(entries, self.expiry_keys, self.ttl)
+        return entries if self.ttl is None else held_cells(entries, self.expiry_keys, self.ttl)
 
     def totals(self, before: int | None = None) -> DataFrame:
         """Cumulative sums; with a ``ttl``, since each key last began."""
