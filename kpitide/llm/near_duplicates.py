@@ -3,10 +3,10 @@
 The set of a text is its distinct shingles of ``words`` words. Two sets link if ``den * intersection >= num * union``.
 
 Tiles. Sets are banded by size, and the space of shingle hashes is cut into as many slices as two linked sets of a band can differ in
-shingles, and one or two more. Two linked sets are then equal on at least one slice that is not empty; a tile is a band, a slice and
-what a set holds of it, and sets meet in a tile only then. A set near the lower end of its band also enters the band below. A common
-passage or line fills whole slices of few texts, so it makes no large tile. A set with too many empty slices is
-sliced once more in another way, as is any it could link with.
+shingles, and some more. Two linked sets are then equal on at least one slice that is full enough (two shingles, or one where slices are
+small); a tile is a band, a slice and what a set holds of it, and sets meet in a tile only then. A set near the lower end of its band
+also enters the band below. A common passage or line fills whole slices of few texts, so it makes no large tile. A set with too few
+full slices is sliced once more in another way, as is any it could link with.
 
 Within a tile the members are first held against one leader. Links join members to components, and only tiles that still hold
 several components go on: with other leaders, and then with every pair from different components, in blocks. Before shingles are
@@ -22,6 +22,7 @@ null id are left out. Other columns are not touched.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -82,24 +83,36 @@ class Rule:
     num: int
     den: int
 
-    def bands(self, size: int) -> list[tuple[int, int]]:
-        """(band, largest size in it) of the band of a size, and of the one below if it holds sizes that can link."""
+    def bands(self, size: int) -> list[tuple[int, int, int]]:
+        """(band, largest and smallest size in it) of the band of a size, and of the one below if it holds sizes that can link."""
         ends = band_ends(self, size)
         own = int(np.searchsorted(ends, size))
         least = -(-self.num * size // self.den)
-        below = [(own - 1, int(ends[own - 1]))] if own and least <= ends[own - 1] else []
-        return [(own, int(ends[own])), *below]
+        below = [own - 1] if own and least <= ends[own - 1] else []
+        return [(b, int(ends[b]), int(ends[b - 1]) + 1 if b else 1) for b in (own, *below)]
 
-    def slices(self, end: int) -> tuple[int, int]:
-        """Most shingles in which two linked sets can differ if the smaller has at most ``end``, and the number of slices."""
-        differ = (self.den - self.num) * end // self.num
-        return differ, differ + 1 + (1 + differ // 64 if differ else 0)
+    def slices(self, end: int, low: int) -> tuple[int, int, int]:
+        """Of a band of sizes ``low`` to ``end``: most shingles in which linked sets can differ if the smaller is of the band, the number
+        of slices, and the least number of shingles in a slice that counts."""
+        return _slices((self.den - self.num) * end // self.num, low)
 
     def could(self, overlap: np.ndarray, both: np.ndarray) -> np.ndarray:
         """Whether an overlap is enough; ``both``: the sizes of the two sets added."""
         return self.den * overlap >= self.num * (both - overlap)
 
 
+@lru_cache(maxsize=1024)
+def _slices(differ: int, low: int) -> tuple[int, int, int]:
+    """So many slices that nearly every set has more full ones than linked sets can differ in."""
+    for full in (2, 1) if differ else ():
+        for slices in range(differ + 1, 3 * differ + 4):
+            mean = low / slices
+            thin = slices * math.exp(-mean) * (1 + (mean if full == 2 else 0))
+            if slices - differ - 1 >= thin + 4 * math.sqrt(thin):
+                return differ, slices, full
+    return differ, differ + 1 + bool(differ), 1
+
+
 @lru_cache(maxsize=64)
 def _ends(num: int, den: int, upto: int) -> np.ndarray:
     out, low = [], 1
@@ -117,19 +130,20 @@ def band_ends(rule: Rule, size: int) -> np.ndarray:
 def tiles(found: np.ndarray, rule: Rule) -> np.ndarray:
     """Keys of the tiles of a set."""
     out = []
-    for band, end in rule.bands(len(found)) if len(found) else []:
-        differ, slices = rule.slices(end)
+    for band, end, low in rule.bands(len(found)) if len(found) else []:
+        differ, slices, full = rule.slices(end, low)
         for slicing in range(SLICINGS + 1):
             tag = np.uint64((band * 16 + slicing) * 2 + 1)
-            if slicing == SLICINGS:  # too many empty slices each time
+            if slicing == SLICINGS:  # too few full slices each time
                 out.append(mix(np.array([tag], np.uint64) * ODD))
                 break
             own = found if slicing == 0 else np.sort(mix(found ^ mix(np.array([slicing], np.uint64))))
             at = ((own >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
             first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
             content = np.add.reduceat(mix(own), first)
-            out.append(mix(content ^ mix(at[first] * np.uint64(0x100000) + tag)))
-            if slices - differ - (slices - len(first)) >= 1:
+            counts = np.diff(np.append(first, len(own))) >= full
+            out.append(mix(content ^ mix(at[first] * np.uint64(0x100000) + tag))[counts])
+            if counts.sum() > differ:
                 break
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
