@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpitide.llm import bpe, languages, licences, near_duplicates, near_vectors, neighbours, packing, passages, toxicity
+from kpitide.llm import bpe, html_text, languages, licences, near_duplicates, near_vectors, neighbours, packing, passages, toxicity
 from kpitide.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict(docs, prototypes).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -67,6 +71,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
+    "op2_html": op2_html,
     "op3_bpe": op3_bpe,
     "op4_jaccard": op4_jaccard,
     "op5_toxicity": op5_toxicity,
