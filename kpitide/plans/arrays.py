@@ -18,8 +18,9 @@ def _whole_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector, and its own front part backwards: 0 to 15 slots."""
-    front = F.slice("v", F.lit(1), F.pmod("vec_id", F.lit(16)).cast("int"))
+    """Each vector, and its own front part backwards: all but the last 0 to 15 slots."""
+    kept = F.greatest(F.size("v") - F.pmod("vec_id", F.lit(16)).cast("int"), F.lit(0))
+    front = F.slice("v", F.lit(1), kept)
     return _whole_numbers(spark, sf_dir).select("vec_id", F.col("v").alias("a"), F.reverse(front).alias("b"))
 
 
@@ -46,7 +47,7 @@ _WHOLE = """whole AS (
 )"""
 _PAIRS = f"""{_WHOLE},
 pairs AS (
-  SELECT vec_id, v AS a, list_reverse(v[1 : vec_id % 16]) AS b FROM whole
+  SELECT vec_id, v AS a, list_reverse(v[1 : greatest(len(v) - vec_id % 16, 0)]) AS b FROM whole
 ),
 zipped AS (
   SELECT vec_id, i - 1 AS pos, a[i] AS "left", b[i] AS "right"
