@@ -178,6 +178,41 @@ def test_neighbours(spark):
     assert neighbours.search(spark.createDataFrame([], VECTORS), F.lit(True), 5).count() == 0
 
 
+def all_products(rows, asked, k):
+    good = {i: np.float32(v).astype(float) for i, v in rows}
+    out = {}
+    for q in asked:
+        scores = sorted((-float((good[q] * v).sum()), i) for i, v in good.items() if i != q)
+        out[q] = [i for _, i in scores[:k]]
+    return out
+
+
+def test_neighbours_with_a_third_of_the_rows_equal(spark):
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=16)
+    rows = [(i, [float(x) for x in (hot if i % 3 == 0 else 0.6 * hot + rng.normal(size=16) if i % 3 == 1 else rng.normal(size=16))]) for i in range(1500)]
+    df = spark.createDataFrame([(i, v, 0, 1, 0.1) for i, v in rows], VECTORS).repartition(4)
+    expected = all_products(rows, [i for i, _ in rows if i % 20 == 0], 20)
+    found = defaultdict(list)
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0, 20).collect():
+        found[r.query_id].append((r.rank, r.vec_id))
+    assert {q: len(x) for q, x in found.items()} == dict.fromkeys(expected, 20)
+    for kind in (0, 1, 2):
+        some = [q for q in expected if q % 3 == kind]
+        recall = sum(len({i for _, i in found[q]} & set(expected[q])) for q in some) / (20 * len(some))
+        assert recall >= 0.95, (kind, recall)
+
+
+@pytest.mark.parametrize("n", [1, 5, 21, 30])
+def test_neighbours_of_a_small_table_are_all_there(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(n)]
+    df = spark.createDataFrame([(i, v, 0, 1, 0.1) for i, v in rows], VECTORS)
+    found = {(r.query_id, r.rank): r.vec_id for r in neighbours.search(df, F.lit(True), 20).collect()}
+    expected = all_products(rows, range(n), 20)
+    assert found == {(q, k): i for q, ids in expected.items() for k, i in enumerate(ids, 1)}
+
+
 def test_hilbert_curve_visits_neighbours():
     points = np.array([[x, y, z] for x in range(8) for y in range(8) for z in range(8)])
     keys = neighbours.hilbert_keys(points, 3)
