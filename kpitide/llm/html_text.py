@@ -1,8 +1,8 @@
 """Layout-aware rendering of HTML to text.
 
 Tags are read into a stack of open elements with the ends that HTML implies: a block ends an open paragraph, a list item the one before it, a
-row or cell its neighbours, an end tag everything opened inside. What no browser shows is left out: head, scripts and styles, comments, templates,
-elements with ``hidden``, ``display:none`` or ``visibility:hidden``, and text between the parts of a table's grid is moved out before it.
+row or cell its neighbours, an end tag everything opened inside, and the head ends before the first thing that has no place in it. What no browser shows is left out: head, scripts and styles, comments, templates,
+elements with ``hidden`` or ``display:none``, what ``visibility`` hides (parts made visible again inside are kept), and text between the parts of a table's grid is moved out before it.
 All other text is kept, in order: white space collapses outside ``pre``, blocks start on lines of their own,
 paragraphs and the like stand apart by an empty line, list items carry their mark and are indented, and the cells of a table are
 padded so that its columns align.
@@ -20,16 +20,21 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 BLANKS = " \t\n\r\f"
 RUN = re.compile(f"[{BLANKS}]+")
+# A quote opens a value only right after the equals sign; in a name or a value without quotes it is a character like others.
+VALUE = rf"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^{BLANKS}>\"'][^{BLANKS}>]*+"
+PAIR = rf"[^{BLANKS}/>][^{BLANKS}/>=]*+(?:[{BLANKS}]*+=[{BLANKS}]*+(?:{VALUE})?+)?+"
+TAG = re.compile(rf"<!--.*?(?:--!?>|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^{BLANKS}/>]*+)((?:[{BLANKS}/]++|{PAIR})*+)(?:>|\Z)", re.DOTALL)
+ATTRIBUTE = re.compile(rf"([^{BLANKS}/>][^{BLANKS}/>=]*+)(?:[{BLANKS}]*+=[{BLANKS}]*+({VALUE})?+)?+")
+NO_DISPLAY = re.compile(r"(?<![-\w])display\s*:\s*none", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*(visible|initial|hidden|collapse)", re.IGNORECASE)
 
 # Names of HTML elements by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 UNSEEN = frozenset("head script style title meta link base template noscript iframe noembed noframes datalist object audio video canvas".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu".split())
 BLOCK = APART | frozenset(
     "address article aside body center dd details dialog dir div dt fieldset figcaption footer form header hgroup html legend li main nav option search section summary tr td th caption thead tbody tfoot".split()
@@ -47,7 +52,6 @@ ENDS = {
     "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
-    "body": ({"head"}, set()),
 }
 SCOPE = frozenset("table td th caption html template".split())
 
@@ -135,10 +139,10 @@ class Table:
 
 
 class Element:
-    __slots__ = ("hidden", "indent", "items", "name", "ordered", "pre", "table", "writer")
+    __slots__ = ("hidden", "indent", "invisible", "items", "name", "ordered", "pre", "table", "writer")
 
-    def __init__(self, name: str, hidden: bool, pre: bool):
-        self.name, self.hidden, self.pre = name, hidden, pre
+    def __init__(self, name: str, hidden: bool, invisible: bool, pre: bool):
+        self.name, self.hidden, self.invisible, self.pre = name, hidden, invisible, pre  # what is invisible still takes its place
         self.items, self.ordered, self.indent = 0, False, 0
         self.table: Table | None = None
         self.writer: Writer | None = None  # of the text around a cell
@@ -148,37 +152,48 @@ class Page:
     """The open elements of a page and what has been written."""
 
     def __init__(self):
-        self.open: list[Element] = [Element("", False, False)]
+        self.open: list[Element] = [Element("", False, False, False)]
         self.writer = Writer()
         self.counts: dict[str, int] = {}
         self.tables: list[Table] = []
 
-    def attributes_hide(self, attributes: str) -> bool:
+    def looks(self, attributes: str, invisible: bool) -> tuple[bool, bool]:
+        """Whether the attributes hide an element, and whether it is invisible; ``invisible``: of the element around."""
         lowered = attributes.lower()
-        if "hidden" not in lowered and "display" not in lowered and "visibility" not in lowered:
-            return False
+        if "hidden" not in lowered and "style" not in lowered:
+            return False, invisible
+        found: dict[str, str] = {}
         for m in ATTRIBUTE.finditer(attributes):
-            name = m[1].lower()
-            if name == "hidden" or name == "style" and HIDING.search(unescape((m[2] or "").strip("\"'"))):
-                return True
-        return False
+            value = m[2] or ""
+            found.setdefault(m[1].lower(), unescape(value.strip(value[0]) if value[:1] in ("'", '"') else value))
+        style = found.get("style", "")
+        for said in VISIBILITY.findall(style):
+            invisible = said.lower() in ("hidden", "collapse")
+        return "hidden" in found or bool(NO_DISPLAY.search(style)), invisible
 
     def start(self, name: str, attributes: str) -> None:
+        if name not in IN_HEAD:
+            self.end_head()
+        elif name == "head" and any(e.name not in ("", "html") for e in self.open) or name == "html" and self.counts.get("head"):
+            return  # has no effect there
         if name in ENDS_P and self.counts.get("p"):
             self.end_inside({"p"}, SCOPE)
         if name in ENDS:
             self.end_inside(*ENDS[name])
         top = self.open[-1]
-        hidden = top.hidden or name in UNSEEN or bool(attributes) and self.attributes_hide(attributes)
+        hides, invisible = self.looks(attributes, top.invisible) if attributes else (False, top.invisible)
+        hidden = top.hidden or name in UNSEEN or hides
         if name == "input" or name in VOID:
             if not hidden:
-                if name == "br":
+                if name == "br" and invisible:
+                    self.writer.block(1)
+                elif name == "br":
                     self.writer.new_line()
                     self.writer.space = False
                 elif name == "hr":
                     self.writer.block(2)
             return
-        element = Element(name, hidden, top.pre or name in ("pre", "textarea"))
+        element = Element(name, hidden, invisible, top.pre or name in ("pre", "textarea"))
         self.open.append(element)
         self.counts[name] = self.counts.get(name, 0) + 1
         if hidden:
@@ -204,10 +219,14 @@ class Page:
                 around.items += 1
                 mark = f"{around.items}. " if around.name == "ol" else mark
             self.indented(element, len(mark))
-            self.writer.mark = mark
+            self.writer.mark = "" if invisible else mark
         elif name in ("dd", "blockquote"):
             self.indented(element, 4)
 
+    def end_head(self) -> None:
+        if self.open[-1].name == "head":
+            self.close(len(self.open) - 1)
+
     def indented(self, element: Element, by: int) -> None:
         element.indent = by
         self.writer.indent += " " * by
@@ -270,8 +289,10 @@ class Page:
                 self.writer.block(2 if e.name in APART and not (e.name in ("ul", "ol", "menu") and self.counts.get("li")) else 1)
 
     def text(self, text: str) -> None:
+        if text.strip(BLANKS):
+            self.end_head()
         top = self.open[-1]
-        if top.hidden or not text:
+        if top.hidden or top.invisible or not text:
             return
         if top.pre:
             self.writer.exact(text)

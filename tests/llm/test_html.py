@@ -28,6 +28,36 @@ def test_cases(html):
     assert html_text.render(html) == CASES[html]
 
 
+FOUND_CASES = {
+    "<html><head><title>t</title><p>Hello": "Hello",
+    "<html><head><meta charset=x><link rel=y>\n <style>p{}</style><h1>a</h1>b": "a\n\nb",
+    "<head><title>t</title>\n text <b>c</b>": "text c",
+    "<head>&nbsp;a": "\xa0a",
+    "<head><script>x</script><table><tr><td>a</table>": "a",
+    "<head><noscript><img src=x>no</noscript><template><p>t</p></template><div>a</div>": "a",
+    "<head><title>t</title><head><html><meta x><body>a<head>b": "ab",
+    "<p title=Bob's>a</p><p title=it's>b</p>": "a\n\nb",
+    "<p title=5\"6>a</p> b > c": "a\n\nb > c",
+    "<a href=x/ title = 'a > b' data-'>c</a>d": "cd",
+    "<p title='x' style='display:none'>a</p><p title=x'y style=display:none>b</p>c": "c",
+    "<div style='visibility:hidden'>a<p style='visibility: visible'>b</p>c</div>d": "b\n\nd",
+    "<table style='visibility:hidden'><tr><td>a<td><i style='visibility:visible'>b</i></table>": "  b",
+    "<div hidden>a<p style='visibility:visible'>b</p></div>c": "c",
+    "<p style='backface-visibility:hidden'>a</p>": "a",
+    "<p style='color:red' style='display:none'>a</p>": "a",
+}
+
+
+@pytest.mark.parametrize("html", FOUND_CASES)
+def test_head_attribute_and_visibility_cases(html):
+    assert html_text.render(html) == FOUND_CASES[html]
+
+
+def test_open_quotes_take_no_long_time():
+    assert html_text.render("<p " + "a='b' c=d'e " * 50_000 + ">x") == "x"
+    assert html_text.render("<p>x" + "<a b=c " * 50_000) == "x"
+
+
 def test_depth_and_length():
     assert html_text.render("<div>" * 50_000 + "x" + "</div>" * 50_000) == "x"
     assert html_text.render("<table><tr><td>" * 300 + "x").strip() == "x"
