@@ -1,11 +1,11 @@
 """Removal of passages that other documents have too, by hashed runs of sentences.
 
-A text is cut into sentences at line ends and after ``. ! ?``. Every run of several consecutive sentences is hashed: from each sentence on, and
-back from each sentence, the shortest run of at least two sentences with ``RUN_WORDS`` words. A sentence of ``LONG_WORDS``
-words is a run by itself. Runs are joined over all documents; of each run the first place stays (smallest id, then first in the text),
+A text is cut into sentences at line ends and after ``. ! ?``. Every run of at least two consecutive sentences counts, however short (``RUN_WORDS``
+is 0). Only the pairs of neighbours are hashed: where a longer run is repeated, so are its pairs, and they cover the same sentences. A sentence
+of ``LONG_WORDS`` words is a run by itself. Runs are joined over all documents; of each run the first place stays (smallest id, then first in the text),
 and sentences that any other place covers are removed. White space does not count in the comparison.
 
-A run at the end of a passage and one at its start are both found, so every sentence of a passage that holds runs is covered. A
+A passage that begins and ends in the middle of sentences is found by the whole sentences in it, if there are two. A
 document repeats a run at most once in the shuffle: further places in the same text are known without it. Documents are
 counted per run by partial sums, so a run that a third of the documents have is no large group anywhere.
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from kpitide.llm.common import written
 
-RUN_WORDS = 25
+RUN_WORDS = 0  # words that a run of several sentences must have: with more, what is left of a passage in foreign text would stay
 LONG_WORDS = 40
 BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
@@ -65,7 +65,7 @@ def runs(parts: list[str]) -> list[tuple[int, int, str]]:
         if sizes[j] < LONG_WORDS and total >= RUN_WORDS and j - begin >= 1:
             found.add((begin, j - begin + 1))
         total -= sizes[j]
-    return [(i, k, "\x1f".join(bare[i : i + k])) for i, k in sorted(found)]
+    return [(i, k, "\x1f".join(bare[i : i + k])) for i, k in sorted(found) if sizes[i]]  # white space before the first sentence is none
 
 
 def run_table(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -199,6 +199,20 @@ def test_passages_equal_plain_removal(spark):
     assert passages.remove(edge.empty(spark)).count() == 0
 
 
+def test_passages_that_stand_in_mid_sentence(spark):
+    first = " ".join(f"a{k}" for k in range(31)) + ". "
+    middle, last = "B0 b1 b2 b3 b4 b5. ", " ".join(f"c{k}" for k in range(16)) + "."
+    passage = first + middle + last  # 53 words; within foreign sentences the last two sentences have 22
+    rows = [(1, "Own one. " + passage + " Own two."), (2, "Foreign words go on " + passage + " Other end."), (3, "More of it " + passage + " The third."), (4, "\n\nShort it is."), (5, "\n\nShort it is.")]
+    rows += [(6, "Not yet. Yes now. And then."), (7, "So far. Yes now. And then. Or so.")]
+    found = {r.doc_id: (r.text, r.n_removed) for r in passages.remove(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found[1] == (rows[0][1], 0)
+    assert found[2] == ("Foreign words go on " + first + "Other end.", 2)
+    assert found[3] == ("More of it " + first + "The third.", 2)
+    assert found[4] == found[5] == ("\n\nShort it is.", 0)
+    assert found[6][1] == 0 and found[7] == ("So far. Or so.", 2)
+
+
 def check_packing(pieces, texts, window, end_id=1):
     other = library(WORDS)
     expected = Counter()
