@@ -178,6 +178,33 @@ def test_neighbours(spark):
     assert neighbours.search(spark.createDataFrame([], VECTORS), F.lit(True), 5).count() == 0
 
 
+def test_near_vectors_with_a_third_of_the_rows_equal(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    hot = rng.normal(size=16)
+    rows = [(i, [float(x) for x in (hot if i % 3 == 0 else hot + rng.normal(size=16) * 0.08 if i % 3 == 1 else rng.normal(size=16))], int(i % 7 == 0), 1, 0.1) for i in range(600)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(4)
+    units = np.array([np.float32(r[1]).astype(float) for r in rows])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    labels = np.array([r[2] for r in rows])
+    linked = (units @ units.T >= 0.93) & (labels[:, None] == labels) & ~np.eye(len(rows), dtype=bool)
+    expected = smallest(range(len(rows)), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked), strict=True) if a < b])
+    met, real = spark.sparkContext.accumulator(0), near_vectors.near_codes
+
+    def counted(batches):
+        held = [b for b in batches if b.num_rows]
+        met.add(sum(b.num_rows for b in held))
+        yield from real(iter(held))
+
+    monkeypatch.setattr(near_vectors, "near_codes", counted)
+    for block in (near_vectors.BLOCK, 16):  # the second cuts most buckets into tiles
+        monkeypatch.setattr(near_vectors, "BLOCK", block)
+        before = met.value
+        found = {r.id: (r.n_links, r.component) for r in near_vectors.links(df, 0.93).collect()}
+        assert found == {i: (int(linked[i].sum()), expected[i]) for i in range(len(rows))}
+        if block > 16:  # 402 different vectors of a label, not 600
+            assert met.value - before == 402 * 12 * 18
+
+
 def all_products(rows, asked, k):
     good = {i: np.float32(v).astype(float) for i, v in rows}
     out = {}
