@@ -128,8 +128,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], key: str = "doc_
 
 
 def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", reject_at: float = REJECT_AT) -> DataFrame:
-    """The rows whose text is near one of the languages of the table itself, their columns unchanged."""
+    """The rows whose text is near one of the languages of the table itself, their columns unchanged. All rows if no language could be learned."""
     prototypes = learn(docs, text, lang)
+    if not prototypes:
+        return docs
     others = [c for c in docs.columns if c not in (key,)]
     found = predict(docs, prototypes, key, text, others)
     # By place, as other columns may have the names of the result's.

@@ -146,6 +146,12 @@ def test_licences(spark):
     assert licences.scan(edge.docs(spark)).count() == len(edge.rows()) and licences.scan(edge.empty(spark)).count() == 0
 
 
+def test_no_language_learned_keeps_all(spark):
+    rows = [(1, "some words here", None), (2, None, None), (3, "12 34", None), (4, "andere Worte", None)]
+    kept = languages.accepted(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert sorted((r.doc_id, r.text, r.lang) for r in kept.collect()) == rows
+
+
 def plain_removal(rows):
     """Remove covered sentences with plain dictionaries."""
     of_run = defaultdict(list)
