@@ -106,8 +106,8 @@ def kpi_job(spark: SparkSession, args: argparse.Namespace) -> list:
 
 
 def last_job(spark: SparkSession, args: argparse.Namespace) -> list:
-    out, checkpoint = f"{args.out}/last", f"{args.out}/checkpoint"
-    return [jobs.overwrite_stream(lines(spark, args), out, checkpoint, args.every, args.compact_every)]
+    latest = jobs.last_kpi_rows(spark, f"{args.out}/last", args.ttl)
+    return [jobs.overwrite_stream(lines(spark, args), latest, f"{args.out}/checkpoint", args.every, args.compact_every)]
 
 
 def windows_job(spark: SparkSession, args: argparse.Namespace) -> list:
@@ -154,9 +154,12 @@ def running_words_job(spark: SparkSession, args: argparse.Namespace) -> list:
 
 
 def seeded_words_job(spark: SparkSession, args: argparse.Namespace) -> list:
-    out, checkpoint = f"{args.out}/counts", f"{args.out}/checkpoint"
-    source = lines(spark, args)
-    return [jobs.seeded_word_stream(source, seed_words(spark), out, checkpoint, args.delimiter or " ", args.every)]
+    latest = jobs.seeded_rows(spark, f"{args.out}/counts")
+    return [
+        jobs.seeded_word_stream(
+            lines(spark, args), seed_words(spark), latest, f"{args.out}/checkpoint", args.delimiter or " ", args.every, args.compact_every
+        )
+    ]
 
 
 def consume_job(spark: SparkSession, args: argparse.Namespace) -> list:

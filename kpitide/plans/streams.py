@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpitide.operators import keyed
 from kpitide.plans import words as word_plans
 from kpitide.plans.fixture_sql import tokens
 from kpitide.plans import recharge
@@ -14,6 +13,9 @@ from kpitide.plans.registry import Query
 from kpitide.session import scratch_path
 from kpitide.sources import tables
 from kpitide.streaming import jobs
+from kpitide.streaming.store import WholeResults
+
+LAST_VALUE_BATCHES = 8
 
 
 def _log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,17 +33,10 @@ def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.totals().withColumn("fee", F.col("fee").cast("double"))
 
 
-def _newest(spark: SparkSession, path: str) -> DataFrame:
-    """State after the last micro-batch. One batch id comes to the driver."""
-    written = spark.read.parquet(path)
-    last = written.agg(F.max("batch_id")).first()[0]
-    return written.where(F.col("batch_id") == last).drop("batch_id")
-
-
 def word_count_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "word-count")
     jobs.run(jobs.cumulative_word_stream(_line_stream(spark, sf_dir), f"{path}/out", f"{path}/checkpoint"))
-    return _newest(spark, f"{path}/out")
+    return WholeResults(spark, f"{path}/out", jobs.KEEP_BATCHES).newest()
 
 
 def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,30 +69,31 @@ def stream_success_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-last-value")
-    table, parts = tables.stream_parts(spark, sf_dir, "events", "event_id")
-    for _ in parts:
-        jobs.run(jobs.overwrite_stream(tables.recharge_log(table), f"{path}/kpis", f"{path}/checkpoint", compact_every=2))
-    return jobs.last_kpis(spark, f"{path}/kpis")
+    latest = jobs.last_kpi_rows(spark, f"{path}/kpis")
+    table, parts = tables.stream_parts(spark, sf_dir, "events", "event_id", LAST_VALUE_BATCHES)
+    for _ in parts:  # folded every other batch
+        jobs.run(jobs.overwrite_stream(tables.recharge_log(table), latest, f"{path}/checkpoint", compact_every=2))
+    return jobs.last_kpis(latest)
 
 
 def stream_seeded_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-seeded")
     seed = word_plans.seed(spark, sf_dir)
-    jobs.run(jobs.seeded_word_stream(_line_stream(spark, sf_dir), seed, f"{path}/out", f"{path}/checkpoint"))
-    # Each batch has the words that came in it; the newest count of a word is its last one.
-    return keyed.last_value(spark.read.parquet(f"{path}/out"), ["word"], ["n"]).drop("batch_id")
+    latest = jobs.seeded_rows(spark, f"{path}/out")
+    jobs.run(jobs.seeded_word_stream(_line_stream(spark, sf_dir), seed, latest, f"{path}/checkpoint", compact_every=2))
+    return jobs.seeded_counts(latest)
 
 
 def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream-top-words")
     jobs.run(jobs.top_word_stream(_line_stream(spark, sf_dir), f"{path}/out", f"{path}/checkpoint"))
-    return _newest(spark, f"{path}/out")
+    return WholeResults(spark, f"{path}/out", jobs.KEEP_BATCHES).newest()
 
 
 QUERIES = {
     "stream_minute_window": Query(stream_minute_window, window_sql("minute")),
     "stream_success_counter": Query(stream_success_counter, recharge.QUERIES["daily_success_counter"].sql),
-    "stream_last_value": Query(stream_last_value, recharge.last_value_sql("seq % 4")),
+    "stream_last_value": Query(stream_last_value, recharge.last_value_sql(f"seq % {LAST_VALUE_BATCHES}")),
     "stream_seeded_word_count": Query(stream_seeded_word_count, word_plans.QUERIES["seeded_word_count"].sql),
     "stream_top10_words": Query(stream_top10_words, word_plans.QUERIES["top10_words"].sql),
     "stream_kpi": Query(stream_kpi, grouping_sets_sql()),

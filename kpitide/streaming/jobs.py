@@ -21,7 +21,9 @@ from kpitide.operators.project import base_rows
 from kpitide.session import scratch_path
 from kpitide.sources import kafka
 from kpitide.sources.folders import Folders
-from kpitide.streaming.partials import SEED_BATCH, PartialSums, run_number
+from kpitide.streaming.latest import LatestRows
+from kpitide.streaming.partials import PartialSums
+from kpitide.streaming.store import SEED_BATCH, WholeResults
 
 # Name of the KPI query in its progress reports.
 KPI_QUERY = "kpi"
@@ -40,6 +42,15 @@ WINDOW_SUMS = T.StructType(
     ]
 )
 COUNTER_SUMS = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.LongType())])
+LAST_KPIS = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("orders", T.LongType()),
+        T.StructField("succ", T.LongType()),
+        T.StructField("money", T.DoubleType()),
+        T.StructField("cost_ms", T.LongType()),
+    ]
+)
 WORD_SUMS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
@@ -90,8 +101,7 @@ def kpi_stream(
             bad = rejected_records(batch, column)
             bad.write.mode("overwrite").parquet(f"{rejects}/run={sums.run}/batch_id={batch_id}")
             batch.unpersist()
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            sums.compact(batch_id - 1)
+        sums.after_batch(batch_id, compact_every)
 
     return start(log.writeStream.queryName(KPI_QUERY).foreachBatch(put), checkpoint, every)
 
@@ -114,8 +124,7 @@ def daily_totals_stream(
         show(kpi.batch_totals(rows), batch_id)
         if counters is not None:
             counters.put(keyed.success_counter(rows, prefix), batch_id)
-            if compact_every and batch_id and batch_id % compact_every == 0:
-                counters.compact(batch_id - 1)
+            counters.after_batch(batch_id, compact_every)
 
     return start(log.writeStream.foreachBatch(put), checkpoint, every)
 
@@ -142,8 +151,7 @@ def window_stream(
 
     def put(batch: DataFrame, batch_id: int) -> None:
         sums.put(kpi.window_sums(base_rows(batch), width), batch_id)
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            sums.compact(batch_id - 1)
+        sums.after_batch(batch_id, compact_every)
 
     return start(log.writeStream.foreachBatch(put), checkpoint, every)
 
@@ -160,100 +168,83 @@ def counter_stream(
 
     def put(batch: DataFrame, batch_id: int) -> None:
         sums.put(keyed.success_counter(base_rows(batch), prefix), batch_id)
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            sums.compact(batch_id - 1)
+        sums.after_batch(batch_id, compact_every)
 
     return start(log.writeStream.foreachBatch(put), checkpoint, every)
 
 
+def last_kpi_rows(spark: SparkSession, path: str, ttl: int | None = None) -> LatestRows:
+    """The stored KPIs that each micro-batch overwrites."""
+    return LatestRows(spark, path, LAST_KPIS, ["key"], ttl).create()
+
+
 def overwrite_stream(
-    log: DataFrame, path: str, checkpoint: str, every: str | None = None, compact_every: int = 50
+    log: DataFrame,
+    latest: LatestRows,
+    checkpoint: str,
+    every: str | None = None,
+    compact_every: int | None = 50,
+    write_time: Callable[[int], Column] | None = None,
 ) -> StreamingQuery:
-    """KPIs that each micro-batch overwrites: of each key the sums of the last batch that wrote it. ``last_kpis`` reads them."""
-    spark = log.sparkSession
-    run = run_number(spark, path, checkpoint)
+    """KPIs that each micro-batch overwrites: of each key the sums of the last batch that wrote it."""
+    latest.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         cells = kpi.all_grains(base_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")), "batch_id")
-        written = keyed.last_batch_kpis(cells).withColumn("run", F.lit(run).cast("bigint"))
-        written.write.mode("overwrite").parquet(f"{path}/batches/{run}.{batch_id}")
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            _fold_last(spark, path, run, batch_id - 1)
+        latest.put(keyed.last_batch_kpis(cells), batch_id, write_time(batch_id) if write_time else None)
+        latest.after_batch(batch_id, compact_every)
 
     return start(log.writeStream.foreachBatch(put), checkpoint, every)
 
 
-def _versions(folders: Folders) -> list[tuple[int, int]]:
-    return sorted(tuple(map(int, name.split("."))) for name in folders.names("batches"))
-
-
-def _fold_last(spark: SparkSession, path: str, run: int, upto: int) -> None:
-    """Put what batches up to one that is done have left into that batch's folder beside it, then delete them.
-
-    Until the last of them is gone the folded rows stand twice, which changes no newest value.
-    """
-    folders = Folders(spark, path)
-    done = [v for v in _versions(folders) if v <= (run, upto)]
-    if len(done) < 2:
-        return
-    rows = _newest_kpis(spark.read.parquet(*[f"{path}/batches/{r}.{b}" for r, b in done]))
-    rows.write.mode("overwrite").parquet(f"{path}/folded/{run}.{upto}")
-    for old in folders.names("folded"):
-        if old != f"{run}.{upto}":
-            folders.drop(f"folded/{old}")
-    for r, b in done:
-        folders.drop(f"batches/{r}.{b}")
-
-
-def _newest_kpis(written: DataFrame) -> DataFrame:
-    values = ["orders", "succ", "money", "cost_ms", "batch_id", "run"]
-    newest = written.withColumn("_version", F.struct("run", "batch_id"))
-    return newest.groupBy("key").agg(*[F.max_by(v, "_version").alias(v) for v in values])
-
-
-def last_kpis(spark: SparkSession, path: str) -> DataFrame:
-    """What overwriting has left under each key."""
-    folders = Folders(spark, path)
-    at = [f"{path}/{kind}/{name}" for kind in ("folded", "batches") for name in folders.names(kind)]
-    return _newest_kpis(spark.read.parquet(*at)).drop("run")
-
-
-def _replace_batch(spark: SparkSession, path: str, keep: int | None = None) -> Callable[[DataFrame, int], None]:
-    """Write each micro-batch to its own folder; of whole results only the newest ``keep``."""
-    folders = Folders(spark, path)
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        for name in folders.names() if keep else []:
-            if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= batch_id - keep:
-                folders.drop(name)
-
-    return put
+def last_kpis(latest: LatestRows) -> DataFrame:
+    """What overwriting has left under each key, with the ``batch_id`` of the write."""
+    return latest.rows().withColumnRenamed("in_batch", "batch_id").drop("in_run")
 
 
 def cumulative_word_stream(
     lines: DataFrame, path: str, checkpoint: str, delimiter: str = ",", every: str | None = None, keep: int = KEEP_BATCHES
 ) -> StreamingQuery:
-    """Count of every word so far, all of them after each micro-batch, under its ``batch_id``. The newest ``keep`` results stay."""
+    """Count of every word so far, all of them after each micro-batch, as ``WholeResults`` under ``path``."""
     counts = words.word_counts(words.tokenize(lines, delimiter=delimiter))
-    put = _replace_batch(lines.sparkSession, path, keep)
-    return start(counts.writeStream.outputMode("complete").foreachBatch(put), checkpoint, every)
+    results = WholeResults(lines.sparkSession, path, keep).begin(checkpoint)
+    return start(counts.writeStream.outputMode("complete").foreachBatch(results.put), checkpoint, every)
+
+
+def seeded_rows(spark: SparkSession, path: str) -> LatestRows:
+    """The stored counts of the words that came, on top of a seed."""
+    return LatestRows(spark, path, WORD_SUMS, ["word"]).create()
 
 
 def seeded_word_stream(
-    lines: DataFrame, seed: DataFrame, path: str, checkpoint: str, delimiter: str = " ", every: str | None = None
+    lines: DataFrame,
+    seed: DataFrame,
+    latest: LatestRows,
+    checkpoint: str,
+    delimiter: str = " ",
+    every: str | None = None,
+    compact_every: int | None = 50,
 ) -> StreamingQuery:
-    """Count, on top of the seed, of the words that came in each micro-batch. The seed is computed once, at the start."""
+    """Count, on top of the seed, of the words that came in each micro-batch; a word's newest count replaces its older one.
+
+    The seed is computed once, at the start. A run without the checkpoint before it counts from the seed again.
+    """
     counts = words.word_counts(words.tokenize(lines, delimiter=delimiter))
     seed = stored_seed(seed)
-    replace = _replace_batch(lines.sparkSession, path)
+    latest.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        replace(words.seeded(batch, seed), batch_id)
+        latest.put(words.seeded(batch, seed), batch_id)
+        latest.after_batch(batch_id, compact_every)
 
     return start(counts.writeStream.outputMode("update").foreachBatch(put), checkpoint, every)
 
 
+def seeded_counts(latest: LatestRows) -> DataFrame:
+    """The newest count of each word that came in the newest run."""
+    return latest.rows().where(F.col("in_run") == latest.newest_run()).select("word", "n")
+
+
 def stored_seed(seed: DataFrame) -> DataFrame:
     """The seed as a table in the shared folder."""
     spark = seed.sparkSession
@@ -265,12 +256,12 @@ def stored_seed(seed: DataFrame) -> DataFrame:
 def top_word_stream(
     lines: DataFrame, path: str, checkpoint: str, k: int = 10, delimiter: str = " ", every: str | None = None
 ) -> StreamingQuery:
-    """The most frequent words so far, after each micro-batch."""
+    """The most frequent words so far, after each micro-batch, as ``WholeResults`` under ``path``."""
     counts = words.word_counts(words.tokenize(lines, delimiter=delimiter))
-    replace = _replace_batch(lines.sparkSession, path, KEEP_BATCHES)
+    results = WholeResults(lines.sparkSession, path, KEEP_BATCHES).begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        replace(words.top_words(batch, k), batch_id)
+        results.put(words.top_words(batch, k), batch_id)
 
     return start(counts.writeStream.outputMode("complete").foreachBatch(put), checkpoint, every)
 
@@ -306,8 +297,7 @@ def running_word_stream(
         words.running_count(tokens, "word", order, base=base, scratch=scratch).write.mode("overwrite").parquet(out)
         Folders(spark, scratch).drop("")
         totals.put(words.word_counts(spark.read.parquet(out)), batch_id)
-        if compact_every and batch_id and batch_id % compact_every == 0:
-            totals.compact(batch_id - 1)
+        totals.after_batch(batch_id, compact_every)
 
     return start(lines.writeStream.foreachBatch(put), checkpoint, every)
 

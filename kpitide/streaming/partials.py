@@ -9,39 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpitide.operators.keyed import held_cells
-from kpitide.sources.folders import Folders
+from kpitide.streaming.store import BatchStore
 
-NO_BATCH = -1
-SEED_BATCH = -2  # of the first run: counts to start from
-EMPTY_BASE = -3
-FIRST_RUN = 0
 
-
-def run_number(spark: SparkSession, path: str, checkpoint: str) -> int:
-    """Number of the run a checkpoint belongs to; a new one if the checkpoint is new.
-
-    Batch numbers start again with a new checkpoint, so they only mean something beside the number of the run. The number is kept
-    with the checkpoint and, so that none is given twice, below ``path``.
-    """
-    kept = [n for n in Folders(spark, checkpoint).names("run") if n.startswith("number=")]
-    if kept:
-        return int(kept[0].removeprefix("number="))
-    taken = [int(n.removeprefix("number=")) for n in Folders(spark, path).names("runs") if n.startswith("number=")]
-    number = max(taken, default=FIRST_RUN - 1) + 1
-    for at in (f"{path.rstrip('/')}/runs", f"{checkpoint.rstrip('/')}/run"):
-        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{at}/number={number}")
-    return number
-
-
-class PartialSums:
-    """Partial sums of a keyed table, by run and micro-batch, under a path all executors share.
-
-    Spark may run a micro-batch again after a failure. It has the same id then and replaces its own folder, so nothing
-    is counted twice. A job that starts without its checkpoint is a new run (``begin``) whose batches stand beside the old ones.
-
-    ``compact`` folds the batches up to one that is done, and all earlier runs, into a base. The folders it has folded are
-    deleted by the compaction after it, when nothing that reads from the base before can be running any more.
-    """
+class PartialSums(BatchStore):
+    """Partial sums of a keyed table: what a key's rows come to is their sum."""
 
     def __init__(
         self,
@@ -53,79 +25,9 @@ class PartialSums:
         ttl: int | None = None,
     ):
         """``ttl`` is the number of seconds after which the sums of an ``expiry_keys`` value are lost without a write."""
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.types = {f.name: f.dataType for f in schema.fields if f.name not in keys}
-        self.schema = T.StructType([*schema.fields, T.StructField("write_time", T.TimestampType())])
+        super().__init__(spark, path, schema, keys)
         self.expiry_keys = list(expiry_keys)
         self.ttl = ttl
-        self.run = FIRST_RUN
-        self.folders = Folders(spark, self.path)
-
-    def _read(self, kind: str, *version: str) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, *[T.StructField(v, T.LongType()) for v in version]])
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}")
-
-    def _empty(self) -> DataFrame:
-        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-
-    def create(self) -> PartialSums:
-        """Write the empty table, unless there is one."""
-        if not self.folders.names("compacted"):
-            self._empty().write.mode("ignore").parquet(f"{self.path}/batches/run={FIRST_RUN}/batch_id={NO_BATCH}")
-            self._write_base(self._empty(), FIRST_RUN, EMPTY_BASE)
-        return self
-
-    def begin(self, checkpoint: str) -> PartialSums:
-        """Count the batches of this checkpoint as a run of their own."""
-        self.run = run_number(self.spark, self.path, checkpoint)
-        base = self._base_version()
-        if self.run < base[0]:
-            raise ValueError(f"run {self.run} ended when run {base[0]} began")
-        return self
-
-    def has_batches(self) -> bool:
-        """Whether anything was ever stored: a base, a seed or a batch."""
-        stored = [f"batches/{r}/{b}" for r in self.folders.names("batches") for b in self.folders.names(f"batches/{r}")]
-        whole = [at for at in stored if "_SUCCESS" in self.folders.names(at) and not at.endswith(f"={NO_BATCH}")]
-        return bool(whole) or self._base_version() > (FIRST_RUN, EMPTY_BASE)
-
-    def put(self, partials: DataFrame, batch_id: int, write_time: Column | None = None) -> None:
-        """Store the sums of one micro-batch of this run, replacing what an earlier try of it left."""
-        time = F.current_timestamp() if write_time is None else write_time
-        rows = partials.withColumn("write_time", time).select(
-            *[F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        )
-        rows.write.mode("overwrite").parquet(f"{self.path}/batches/run={self.run}/batch_id={batch_id}")
-
-    def _write_base(self, rows: DataFrame, run: int, upto: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/base/run={run}/upto={upto}")
-        # Written after the base it names, so a base cut short by a failure is never read.
-        self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/compacted/{run}.{upto}")
-
-    def _bases(self) -> list[tuple[int, int]]:
-        found = [n.split(".") for n in self.folders.names("compacted")]
-        return sorted((int(run), int(upto)) for run, upto in found)
-
-    def _base_version(self) -> tuple[int, int]:
-        return self._bases()[-1]
-
-    def entries(self, before: int | None = None) -> DataFrame:
-        """Base and later partial sums; of this run only the batches before ``before``, if it is given."""
-        run, upto = self._base_version()
-        if before is not None and (self.run, before) <= (run, upto):
-            raise ValueError(f"batches up to {upto} of run {run} are compacted; cannot read the state before {before}")
-        after = (F.col("run") > run) | ((F.col("run") == run) & (F.col("batch_id") > upto))
-        batches = self._read("batches", "run", "batch_id").where(after)
-        if before is not None:
-            batches = batches.where((F.col("run") != self.run) | (F.col("batch_id") < before))
-        folded = self._read("base", "run", "upto").where((F.col("run") == run) & (F.col("upto") == upto))
-        return folded.drop("run", "upto").unionByName(batches.drop("run", "batch_id"))
-
-    def batches(self) -> DataFrame:
-        """The partial sums that are not folded and deleted, with ``run`` and ``batch_id``, for views of the single batches."""
-        return self._read("batches", "run", "batch_id").where(F.col("batch_id") > NO_BATCH)
 
     def _fold(self, entries: DataFrame, *extra: Column) -> DataFrame:
         sums = [F.sum(name).cast(kind).alias(name) for name, kind in self.types.items()]
@@ -134,6 +36,14 @@ class PartialSums:
     def _held(self, entries: DataFrame) -> DataFrame:
         return entries if self.ttl is None else held_cells(entries, self.expiry_keys, self.ttl)
 
+    def _merged(self, entries: DataFrame) -> DataFrame:
+        """Sums by key. With a ``ttl`` each key keeps the time of its last write, and what it has lost is left out."""
+        held = self._held(entries)
+        if self.ttl is None:
+            return self._fold(held).withColumn("write_time", F.lit(None))
+        last_write = F.col("expires_at") - F.make_dt_interval(secs=F.lit(self.ttl))
+        return self._fold(held, last_write.alias("write_time"))
+
     def totals(self, before: int | None = None) -> DataFrame:
         """Cumulative sums; with a ``ttl``, since each key last began."""
         return self._fold(self._held(self.entries(before)))
@@ -141,35 +51,3 @@ class PartialSums:
     def live(self, as_of: Column) -> DataFrame:
         """Cumulative sums of the keys that have not expired at ``as_of``."""
         return self._fold(self._held(self.entries()).where(F.col("expires_at") > as_of))
-
-    def compact(self, upto: int) -> None:
-        """Fold the batches of this run up to ``upto``, and all of the runs before, into a new base.
-
-        Only batches that Spark has committed may be folded: all but the one that is running. With a ``ttl`` each key
-        keeps the time of its last write, and what it has lost is left out.
-        """
-        old = self._bases()
-        if (self.run, upto) <= old[-1]:
-            return
-        held = self._held(self.entries(before=upto + 1))
-        if self.ttl is None:
-            folded = self._fold(held).withColumn("write_time", F.lit(None))
-        else:
-            last_write = F.col("expires_at") - F.make_dt_interval(secs=F.lit(self.ttl))
-            folded = self._fold(held, last_write.alias("write_time"))
-        rows = folded.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        self._write_base(rows, self.run, upto)
-        self._clear(old)
-
-    def _clear(self, old: list[tuple[int, int]]) -> None:
-        """Delete what the base before the newest had folded, and the bases before that one."""
-        run, upto = old[-1]
-        for base in old[:-1]:
-            self.folders.drop(f"compacted/{base[0]}.{base[1]}")
-            self.folders.drop(f"base/run={base[0]}/upto={base[1]}")
-        for folder in self.folders.names("batches"):
-            of_run = int(folder.removeprefix("run="))
-            for name in self.folders.names(f"batches/{folder}") if of_run <= run else []:
-                batch = int(name.removeprefix("batch_id=")) if name.startswith("batch_id=") else NO_BATCH
-                if batch != NO_BATCH and (of_run, batch) <= (run, upto):
-                    self.folders.drop(f"batches/{folder}/{name}")

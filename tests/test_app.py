@@ -5,6 +5,7 @@ import pytest
 from kpitide import app
 from kpitide.operators import kpi
 from kpitide.streaming import jobs
+from kpitide.streaming.store import WholeResults
 from tests.test_streaming import Folder, record
 
 
@@ -36,13 +37,17 @@ def test_stored_sums(spark, started):
 
 def test_last_values(spark, started):
     out = started("last")
-    assert {r["key"]: r["orders"] for r in jobs.last_kpis(spark, f"{out}/last").collect()}["totalA-20240101"] == 1
+    assert {r["key"]: r["orders"] for r in jobs.last_kpis(jobs.last_kpi_rows(spark, f"{out}/last")).collect()}["totalA-20240101"] == 1
 
 
 @pytest.mark.parametrize("job", ["words", "top-words", "seeded-words", "running-words", "consume"])
 def test_other_jobs_run(spark, started, job):
     out = started(job)
-    if job != "consume":
+    if job in ("words", "top-words"):
+        assert WholeResults(spark, f"{out}/counts", 1).newest().count() > 0
+    elif job == "seeded-words":
+        assert jobs.seeded_counts(jobs.seeded_rows(spark, f"{out}/counts")).count() > 0
+    elif job == "running-words":
         assert spark.read.parquet(f"{out}/counts").count() > 0
 
 

@@ -11,6 +11,7 @@ from kpitide.operators import kpi
 from kpitide.operators.project import base_rows
 from kpitide.sources.files import stream_lines
 from kpitide.streaming import jobs
+from kpitide.streaming.store import WholeResults
 
 GOOD = {
     "serviceName": "reChargeNotifyReq",
@@ -163,9 +164,9 @@ def test_expiry_with_and_without_compaction(spark, tmp_path, compact_at):
     assert held(sums.live(F.lit(start + timedelta(minutes=210)))) == {}
 
 
-def batches(spark, path):
+def batches(stored):
     found = {}
-    for row in spark.read.parquet(path).collect():
+    for row in stored.collect():
         found.setdefault(row["batch_id"], {})[row["word"]] = row["n"]
     return found
 
@@ -175,19 +176,64 @@ def test_cumulative_count_shows_all_words_after_each_batch(spark, folder, tmp_pa
     folder.put("b,c")
     out = str(tmp_path / "out")
     jobs.run(jobs.cumulative_word_stream(folder.stream(spark), out, str(tmp_path / "cp")))
-    assert batches(spark, out) == {0: {"a": 1, "b": 1, "": 1}, 1: {"a": 1, "b": 2, "": 1, "c": 1}}
+    results = WholeResults(spark, out, jobs.KEEP_BATCHES)
+    assert batches(results.all()) == {0: {"a": 1, "b": 1, "": 1}, 1: {"a": 1, "b": 2, "": 1, "c": 1}}
     folder.put("c")
     jobs.run(jobs.cumulative_word_stream(folder.stream(spark), out, str(tmp_path / "cp")))
-    assert batches(spark, out)[2] == {"a": 1, "b": 2, "": 1, "c": 2}
+    assert batches(results.all())[2] == {"a": 1, "b": 2, "": 1, "c": 2}
+
+
+@pytest.mark.parametrize("top", [False, True])
+def test_a_new_checkpoint_gives_new_whole_results(spark, folder, tmp_path, top):
+    job = jobs.top_word_stream if top else jobs.cumulative_word_stream
+    out = str(tmp_path / "out")
+    for _ in range(4):
+        folder.put("a b")
+    jobs.run(job(folder.stream(spark), out, str(tmp_path / "cp1"), delimiter=" "))
+    results = WholeResults(spark, out, jobs.KEEP_BATCHES)
+    assert held(results.newest()) == {"a": 4, "b": 4}
+    folder.put("a c")
+    whole = stream_lines(spark, str(folder.path))  # all files in one batch: lower ids than those of the run before
+    jobs.run(job(whole, out, str(tmp_path / "cp2"), delimiter=" "))
+    assert held(results.newest()) == {"a": 5, "b": 4, "c": 1}
+    for _ in range(6):
+        folder.put("c")
+        jobs.run(job(stream_lines(spark, str(folder.path)), out, str(tmp_path / "cp2"), delimiter=" "))
+    assert held(results.newest()) == {"a": 5, "b": 4, "c": 7}
+    assert len(results.versions()) == jobs.KEEP_BATCHES
+
+
+def test_a_whole_result_cut_short_is_not_read(spark, tmp_path):
+    results = WholeResults(spark, str(tmp_path / "out"), 3)
+    for n in range(2):
+        results.put(spark.createDataFrame([("a", n)], "word string, n int"), n)
+    (tmp_path / "out" / "results" / "run=0" / "batch_id=1" / "_SUCCESS").unlink()
+    assert held(results.newest()) == {"a": 0}
 
 
 def test_seeded_count_shows_the_words_of_each_batch(spark, folder, tmp_path):
     folder.put("hello x")
     folder.put("x x")
     seed = spark.createDataFrame([("hello", 1), ("world", 1)], "word string, n0 bigint")
-    out = str(tmp_path / "out")
-    jobs.run(jobs.seeded_word_stream(folder.stream(spark), seed, out, str(tmp_path / "cp")))
-    assert batches(spark, out) == {0: {"hello": 2, "x": 1}, 1: {"x": 3}}
+    latest = jobs.seeded_rows(spark, str(tmp_path / "out"))
+    jobs.run(jobs.seeded_word_stream(folder.stream(spark), seed, latest, str(tmp_path / "cp")))
+    assert batches(latest.batches()) == {0: {"hello": 2, "x": 1}, 1: {"x": 3}}
+    assert held(jobs.seeded_counts(latest)) == {"hello": 2, "x": 3}
+
+
+def test_seeded_counts_start_again_without_their_checkpoint_and_keep_few_folders(spark, folder, tmp_path):
+    folder.put("hello x y")
+    for _ in range(9):
+        folder.put("x")
+    seed = spark.createDataFrame([("hello", 1)], "word string, n0 bigint")
+    latest = jobs.seeded_rows(spark, str(tmp_path / "out"))
+    jobs.run(jobs.seeded_word_stream(folder.stream(spark), seed, latest, str(tmp_path / "cp1"), compact_every=2))
+    assert held(jobs.seeded_counts(latest)) == {"hello": 2, "x": 10, "y": 1}
+    assert len(list((tmp_path / "out" / "batches" / "run=0").iterdir())) <= 6
+    later = Folder(tmp_path / "later")
+    later.put("x", "z")
+    jobs.run(jobs.seeded_word_stream(later.stream(spark), seed, latest, str(tmp_path / "cp2"), compact_every=2))
+    assert held(jobs.seeded_counts(latest)) == {"x": 1, "z": 1}
 
 
 def test_top_words_of_the_stream(spark, folder, tmp_path):
@@ -195,7 +241,7 @@ def test_top_words_of_the_stream(spark, folder, tmp_path):
     folder.put("c c c a")
     out = str(tmp_path / "out")
     jobs.run(jobs.top_word_stream(folder.stream(spark), out, str(tmp_path / "cp"), k=2))
-    assert batches(spark, out) == {0: {"b": 2, "a": 1}, 1: {"c": 3, "a": 2}}
+    assert batches(WholeResults(spark, out, 3).all()) == {0: {"b": 2, "a": 1}, 1: {"c": 3, "a": 2}}
 
 
 def test_running_count_goes_on_over_batches_and_restarts(spark, folder, tmp_path):
@@ -290,9 +336,10 @@ def test_folders_stay_few(spark, tmp_path, ttl):
 def test_overwritten_kpis_and_counters(spark, folder, tmp_path):
     for lines in ([record(1), record(2)], [record(1)], [record(70)], [record(1, day=2)]):
         folder.put(*lines)
-    path = str(tmp_path / "last")
-    jobs.run(jobs.overwrite_stream(folder.stream(spark), path, str(tmp_path / "cp"), compact_every=2))
-    last = {r["key"]: (r["orders"], r["batch_id"]) for r in jobs.last_kpis(spark, path).collect()}
+    latest = jobs.last_kpi_rows(spark, str(tmp_path / "last"))
+    assert jobs.last_kpis(latest).collect() == []
+    jobs.run(jobs.overwrite_stream(folder.stream(spark), latest, str(tmp_path / "cp"), compact_every=2))
+    last = {r["key"]: (r["orders"], r["batch_id"]) for r in jobs.last_kpis(latest).collect()}
     assert last["totalA-20240101"] == (1, 2) and last["totalA-20240102"] == (1, 3)
     assert last["succ_everyminC-202401011001"] == (1, 1) and last["succ_everyminC-202401011002"] == (1, 0)
     counters = jobs.counter_sums(spark, str(tmp_path / "counters"))
@@ -300,6 +347,94 @@ def test_overwritten_kpis_and_counters(spark, folder, tmp_path):
     assert {r["key"]: r["value"] for r in counters.totals().collect()} == {"S-20240101": 4, "S-20240102": 1}
 
 
+def minute_keys(latest):
+    return {r["key"][-4:]: (r["orders"], r["in_run"], r["in_batch"]) for r in latest.rows().collect()}
+
+
+def put_minutes(spark, latest, batch, **orders):
+    rows = [(f"k{key[1:]:>03}", n, 0, 0.0, 0) for key, n in orders.items()]
+    latest.put(spark.createDataFrame(rows, jobs.LAST_KPIS), batch, F.lit(datetime(2024, 1, 1, batch)))
+
+
+def test_overwritten_values_outlive_all_folds(spark, folder, tmp_path):
+    for minute in range(8):
+        folder.put(record(minute), record(minute), record(0))
+    latest = jobs.last_kpi_rows(spark, str(tmp_path / "last"))
+    jobs.run(jobs.overwrite_stream(folder.stream(spark), latest, str(tmp_path / "cp"), compact_every=2))
+    last = {r["key"]: (r["orders"], r["batch_id"]) for r in jobs.last_kpis(latest).collect()}
+    minutes = {f"succ_everyminC-20240101100{m}": (2, m) for m in range(1, 8)} | {"succ_everyminC-202401011000": (1, 7)}
+    assert {k: v for k, v in last.items() if k.startswith("succ")} == minutes
+
+
+@pytest.mark.parametrize("crash", ["base", "entry", "clear", "drop", None])
+def test_twenty_batches_with_crashes_lose_no_key(spark, tmp_path, monkeypatch, crash):
+    """Each step of each compaction fails once, and the batch is run again, as Spark would."""
+    latest = jobs.last_kpi_rows(spark, str(tmp_path / "last")).begin(str(tmp_path / "cp"))
+    failing = [False]
+
+    def once(owner, name, before=True):
+        real = getattr(owner, name)
+
+        def call(*args):
+            if failing[0]:
+                failing[0] = False
+                if not before:
+                    real(*args)
+                raise OSError("lost")
+            return real(*args)
+
+        monkeypatch.setattr(owner, name, call)
+
+    if crash == "base":
+        once(latest, "_write_base")
+    elif crash == "entry":  # the base is there, the entry that makes it count is not
+        real = latest._write_base
+
+        def torn(rows, run, upto):
+            real(rows, run, upto)
+            if failing[0]:
+                failing[0] = False
+                latest.folders.drop(f"compacted/{run}.{upto}/_SUCCESS")
+                raise OSError("lost")
+
+        monkeypatch.setattr(latest, "_write_base", torn)
+    elif crash == "clear":
+        once(latest, "_clear")
+    elif crash == "drop":  # after the first folder is deleted
+        once(latest.folders, "drop", before=False)
+    expected = {}
+    for batch in range(20):
+        for attempt in range(2):
+            put_minutes(spark, latest, batch, **{f"m{batch}": batch + 1, "m99": batch})
+            failing[0] = crash is not None and attempt == 0
+            try:
+                latest.after_batch(batch, 2)
+                break
+            except OSError:
+                pass
+            finally:
+                failing[0] = False
+        expected |= {f"k{batch:>03}": (batch + 1, 0, batch), "k099": (batch, 0, batch)}
+        if batch % 5 == 4:
+            assert minute_keys(latest) == expected
+    assert len(list((tmp_path / "last" / "batches" / "run=0").iterdir())) <= 6
+
+
+def test_a_new_run_overwrites_and_keys_expire(spark, tmp_path):
+    path = str(tmp_path / "last")
+    old = jobs.last_kpi_rows(spark, path).begin(str(tmp_path / "cp1"))
+    for batch in range(4):
+        put_minutes(spark, old, batch, m1=batch, **{f"m{10 + batch}": 1})
+    new = jobs.last_kpi_rows(spark, path, ttl=2 * 3600).begin(str(tmp_path / "cp2"))
+    put_minutes(spark, new, 0, m1=50)
+    assert minute_keys(new)["k001"] == (50, 1, 0) and len(minute_keys(new)) == 5
+    put_minutes(spark, new, 1, m2=1)
+    new.compact(0)
+    assert minute_keys(new)["k001"] == (50, 1, 0) and len(minute_keys(new)) == 6
+    live = {r["key"] for r in new.live(F.lit(datetime(2024, 1, 1, 2, 30))).collect()}
+    assert live == {"k002", "k011", "k012", "k013"} - {"k011"}
+
+
 def test_a_failed_query_is_reported(spark, folder, tmp_path):
     folder.put("a")
 
