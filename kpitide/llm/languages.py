@@ -13,7 +13,7 @@ languages the first in alphabetical order wins. If nothing could be learned, eve
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,6 +25,7 @@ SLOTS = 40
 DIMENSIONS = 1024
 SEED = 20240
 TEXTS_AT_ONCE = 96
+RUNS_AT_ONCE = 2048
 UNKNOWN = "und"
 REJECT_AT = 0.0
 RUNS = SLOTS**3
@@ -63,6 +64,16 @@ def run_counts(text: str | None) -> np.ndarray | None:
     return np.bincount((found[:-2] * SLOTS + found[1:-1]) * SLOTS + found[2:], minlength=RUNS)
 
 
+def bundled(counts: np.ndarray, kind: type) -> np.ndarray:
+    """The bundles of rows of run counts. The runs go in blocks, as their vectors take much more room than their table when they are no bytes."""
+    used = np.flatnonzero(counts.any(axis=0))
+    out = np.zeros((len(counts), DIMENSIONS), kind)
+    for lo in range(0, len(used), RUNS_AT_ONCE):
+        some = used[lo : lo + RUNS_AT_ONCE]
+        out += counts[:, some].astype(kind) @ bound_runs()[some].astype(kind)
+    return out
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """Prototype of each language. A task adds up the runs of its texts; the driver gets one vector per language."""
 
@@ -76,9 +87,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
                     counts[name] = found if name not in counts else counts[name] + found
         names, bundles = [], []
         for name, found in counts.items():
-            used = np.flatnonzero(found)
             names.append(name)
-            bundles.append((found[used].astype(float) @ bound_runs()[used].astype(float)).astype(np.int64))
+            bundles.append(bundled(found[None, :], np.float64)[0].astype(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bundles, pa.list_(pa.int64()))], names=["lang", "bundle"])
 
     bundles = docs.where(F.col(lang).isNotNull()).select(text, lang).mapInArrow(run, "lang string, bundle array<bigint>")
@@ -89,53 +99,62 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
     return dict(sorted(out.items()))
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``key, lang_pred, score`` (the cosine, at least 0), and the columns named in ``keep``."""
-    keep = keep or []
+def judge(prototypes: dict[str, np.ndarray]) -> Callable[[pa.Array], tuple[list[str], list[float]]]:
+    """A function from texts to their languages and scores."""
     names = list(prototypes)
     matrix = np.array([v / (np.linalg.norm(v) or 1.0) for v in prototypes.values()]).reshape(len(names), DIMENSIONS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(column: pa.Array) -> tuple[list[str], list[float]]:
         counts = np.zeros((TEXTS_AT_ONCE, RUNS), np.float32)
+        langs, scores = [], []
+        for lo in range(0, len(column), TEXTS_AT_ONCE):
+            texts = column.slice(lo, TEXTS_AT_ONCE).to_pylist()
+            there = np.zeros(len(texts), bool)
+            for i, t in enumerate(texts):
+                found = run_counts(t)
+                there[i] = found is not None
+                counts[i] = 0 if found is None else found
+            profiles = bundled(counts[: len(texts)], np.float32)
+            norms = np.linalg.norm(profiles, axis=1)
+            cosines = (profiles / np.where(norms > 0, norms, 1.0)[:, None]).astype(float) @ matrix.T
+            for i in range(len(texts)):
+                if there[i] and names:
+                    best = int(np.argmax(cosines[i]))
+                    langs.append(names[best])
+                    scores.append(float(min(max(cosines[i, best], 0.0), 1.0)))
+                else:
+                    langs.append(UNKNOWN)
+                    scores.append(0.0)
+        return langs, scores
+
+    return of
+
+
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, lang_pred, score`` (the cosine, at least 0)."""
+    of = judge(prototypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, scores = [], []
-            for lo in range(0, b.num_rows, TEXTS_AT_ONCE):
-                texts = b.column(1).slice(lo, TEXTS_AT_ONCE).to_pylist()
-                there = np.zeros(len(texts), bool)
-                for i, t in enumerate(texts):
-                    found = run_counts(t)
-                    there[i] = found is not None
-                    counts[i] = 0 if found is None else found
-                some = counts[: len(texts)]
-                used = np.flatnonzero(some.any(axis=0))
-                profiles = some[:, used] @ bound_runs()[used].astype(np.float32)
-                norms = np.linalg.norm(profiles, axis=1)
-                cosines = (profiles / np.where(norms > 0, norms, 1.0)[:, None]).astype(float) @ matrix.T
-                for i in range(len(texts)):
-                    if there[i] and names:
-                        best = int(np.argmax(cosines[i]))
-                        langs.append(names[best])
-                        scores.append(float(min(max(cosines[i, best], 0.0), 1.0)))
-                    else:
-                        langs.append(UNKNOWN)
-                        scores.append(0.0)
-            columns = [b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *b.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_lang", "_score", *(f"_{i}" for i in range(len(keep)))])
-
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([f"_key {kinds[key]}", "_lang string", "_score double", *(f"_{i} {kinds[c]}" for i, c in enumerate(keep))])
-    return docs.select(key, text, *keep).mapInArrow(run, schema).toDF(key, "lang_pred", "score", *keep)
+            langs, scores = of(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["_key", "_lang", "_score"])
+
+    schema = f"_key {dict(docs.dtypes)[key]}, _lang string, _score double"
+    return docs.select(key, text).mapInArrow(run, schema).toDF(key, "lang_pred", "score")
 
 
 def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", reject_at: float = REJECT_AT) -> DataFrame:
-    """The rows whose text is near one of the languages of the table itself, their columns unchanged. All rows if no language could be learned."""
+    """The rows whose text is near one of the languages of the table itself, their columns unchanged. All rows if no language could be learned.
+
+    Only texts go to Python, and one bit of each comes back.
+    """
     prototypes = learn(docs, text, lang)
     if not prototypes:
         return docs
-    others = [c for c in docs.columns if c not in (key,)]
-    found = predict(docs, prototypes, key, text, others)
-    # By place, as other columns may have the names of the result's.
-    names = [f"c{i}" for i in range(len(found.columns))]
-    found = found.toDF(*names).where((F.col(names[1]) != UNKNOWN) & (F.col(names[2]) > reject_at))
-    kept = found.select(names[0], *names[3:]).toDF(key, *others)
-    return kept.select(*docs.columns)
+    of = judge(prototypes)
+
+    def near(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([name != UNKNOWN and x > reject_at for name, x in zip(*of(column), strict=True)], pa.bool_())
+
+    return docs.where(F.arrow_udf(near, "boolean")(F.col(text)))

@@ -33,6 +33,7 @@ RIDGE = 2e-5
 COUNTERFACTUAL = 1.0
 TOXIC_WEIGHT = 2.0  # of a toxic row in the loss
 STEPS = 500
+ROWS_AT_ONCE = 500
 PREDICT_FROM = 0.7
 KEPT = 300_000
 PREFIXES = (4, 5, 6, 7)
@@ -128,20 +129,25 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     wanted = sample_of(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, label), key, at_most)
     rows = docs.select(key, text).join(wanted, key).select(key, label, text)
 
+    lists, nested = pa.list_(pa.int32()), pa.list_(pa.list_(pa.list_(pa.int32())))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own, swapped = [], []
-            for t in b.column(2):
-                words = words_of(t.as_py())
-                own.append(features_of(words).tolist())
-                swapped.append([features_of(v).tolist() for v in counterfactuals(words)])
-            kinds = (pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1).cast(pa.int32()), *(pa.array(x, k) for x, k in zip((own, swapped), kinds, strict=True))],
-                names=["id", "label", "own", "swapped"],
-            )
-
-    schema = f"id {dict(rows.dtypes)[key]}, label int, own array<int>, swapped array<array<int>>"
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(lo, ROWS_AT_ONCE)
+                own, swapped = [], []
+                for t in b.column(2):
+                    words = words_of(t.as_py())
+                    found = features_of(words)
+                    own.append(found.astype(np.int32))
+                    swapped.append([change(found, features_of(v)) for v in counterfactuals(words)])
+                ends = pa.array(np.cumsum([0, *map(len, own)]), pa.int32())
+                features = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(own)))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1).cast(pa.int32()), features.cast(lists), pa.array(swapped, nested)], names=["id", "label", "own", "swapped"]
+                )
+
+    schema = f"id {dict(rows.dtypes)[key]}, label int, own array<int>, swapped array<array<array<int>>>"
     local = rows.mapInArrow(run, schema).toArrow()
     order = np.argsort(local.column("id").to_numpy(), kind="stable")
     labels_of = local.column("label").to_numpy()[order]
@@ -151,7 +157,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return fit_local(labels_of, own, swapped)
 
 
-def fit_local(labels: np.ndarray, own: list[np.ndarray], swapped: list[list[list[int]]]) -> Model | None:
+def change(found: np.ndarray, variant: np.ndarray) -> list[list[int]]:
+    """The features that a counterfactual has besides those of its sentence, and those it lacks."""
+    return [np.setdiff1d(variant, found).tolist(), np.setdiff1d(found, variant).tolist()]
+
+
+def fit_local(labels: np.ndarray, own: list[np.ndarray], swapped: list[list[list[list[int]]]]) -> Model | None:
+    """``own``: features of each sentence; ``swapped``: the ``change`` to each of its counterfactuals."""
     y = (np.asarray(labels) == 1).astype(float)
     if not len(y) or y.min() == y.max():
         return None
@@ -178,10 +190,9 @@ def fit_local(labels: np.ndarray, own: list[np.ndarray], swapped: list[list[list
     row, col = matrix(own)
     # A counterfactual differs from its sentence in few features: those that come count +1, those that go -1.
     delta_row, delta_col, delta_sign, n_delta = [], [], [], 0
-    for found, variants in zip(own, swapped, strict=True):
-        for v in variants:
-            v = np.asarray(v, np.int64)
-            for cols, sign in ((columns(np.setdiff1d(v, found)), 1.0), (columns(np.setdiff1d(found, v)), -1.0)):
+    for variants in swapped:
+        for come, go in variants:
+            for cols, sign in ((columns(come), 1.0), (columns(go), -1.0)):
                 delta_row.append(np.full(len(cols), n_delta))
                 delta_col.append(cols)
                 delta_sign.append(np.full(len(cols), sign))
@@ -213,27 +224,29 @@ def top_features(model: Model, texts: list[str], k: int = 10) -> list[tuple[str,
     return weight.most_common(k)
 
 
-def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``key, score`` (0 to 1) and the columns named in ``keep``."""
-    keep = keep or []
+def scored(model: Model | None, column: pa.Array, known: dict[str, tuple[int, ...]]) -> list[float]:
+    return [0.0 if model is None else model.score(words_of(t.as_py()), known) for t in column]
+
+
+def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, score`` (0 to 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:
-            scores = [0.0 if model is None else model.score(words_of(t.as_py()), known) for t in b.column(1)]
-            names = ["_key", "_score", *(f"_{i}" for i in range(len(keep)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), *b.columns[2:]], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scored(model, b.column(1), known), pa.float64())], names=["_key", "_score"])
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([f"_key {kinds[key]}", "_score double", *(f"_{i} {kinds[c]}" for i, c in enumerate(keep))])
-    return docs.select(key, text, *keep).mapInArrow(run, schema).toDF(key, "score", *keep)
+    schema = f"_key {dict(docs.dtypes)[key]}, _score double"
+    return docs.select(key, text).mapInArrow(run, schema).toDF(key, "score")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", at_least: float = PREDICT_FROM) -> DataFrame:
-    """The rows that score below ``at_least``, their columns unchanged."""
+    """The rows that score below ``at_least``, their columns unchanged. Only texts go to Python, and one bit of each comes back."""
     model = fit(docs, labels, key, text, label)
-    others = [c for c in docs.columns if c != key]
-    found = score(docs, model, key, text, others)
-    names = [f"c{i}" for i in range(len(found.columns))]
-    kept = found.toDF(*names).where(F.col(names[1]) < at_least).select(names[0], *names[2:])
-    return kept.toDF(key, *others).select(*docs.columns)
+
+    def fine(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, tuple[int, ...]] = {}
+        for column in columns:
+            yield pa.array([x < at_least for x in scored(model, column, known)], pa.bool_())
+
+    return docs.where(F.arrow_udf(fine, "boolean")(F.col(text)))

@@ -53,5 +53,5 @@ def test_stages(spark, tmp_path):
 def test_registration():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "toxicity", "n-gram Jaccard join", "substring dedup", "packing"]

@@ -123,7 +123,7 @@ def test_counterfactuals_take_weight_off_group_names():
             words |= {"muslim"}
         own.append(toxicity.features_of(words))
         labels.append(int(bad))
-        swapped.append([toxicity.features_of(v).tolist() for v in toxicity.counterfactuals(words)])
+        swapped.append([toxicity.change(own[-1], toxicity.features_of(v)) for v in toxicity.counterfactuals(words)])
     plain = toxicity.fit_local(np.array(labels), own, [[] for _ in own])
     fair = toxicity.fit_local(np.array(labels), own, swapped)
     neutral = {"w1", "w2", "muslim"}
