@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from kpitide.llm.common import written
 from kpitide.llm.components import components
 
-BITMAP_WORDS = 16  # of 64 bits
+LEAST_BITS = 1024
+BITMAP_BYTES_AT_ONCE = 1 << 24
 BAND_RATIO = 1.5
 SLICINGS = 4
 LEADER_ROUNDS = 4
@@ -69,10 +70,30 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def bitmap(found: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITMAP_WORDS * 64, np.uint8)
-    bits[(mix(found + ODD) % np.uint64(len(bits))).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.uint64)
+def bitmap(found: np.ndarray) -> bytes:
+    """For each of two bits or more a shingle, up to the next power of two: whether an odd number of shingles falls on it.
+
+    A shingle that only one of two sets has changes one bit, however full the sets are.
+    """
+    bits = max(LEAST_BITS, 1 << (2 * len(found) - 1).bit_length()) if len(found) else LEAST_BITS
+    falls = (mix(found + ODD) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(falls, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def differing(maps: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits maps number ``x`` and ``y`` differ. The wider of two is folded: its parts, added up, are the narrower one of its set."""
+    size = np.array([len(m) for m in maps])
+    least = np.minimum(size[x], size[y])
+    out = np.empty(len(x), np.int64)
+    for width in np.unique(least):
+        at = np.flatnonzero(least == width)
+        step = max(1, BITMAP_BYTES_AT_ONCE // int(width))
+        for lo in range(0, len(at), step):
+            some = at[lo : lo + step]
+            used, place = np.unique(np.concatenate([x[some], y[some]]), return_inverse=True)
+            rows = np.stack([np.bitwise_xor.reduce(np.frombuffer(maps[i], np.uint64).reshape(-1, width // 8), axis=0) for i in used])
+            out[some] = np.bitwise_count(rows[place[: len(some)]] ^ rows[place[len(some) :]]).sum(axis=1)
+    return out
 
 
 @dataclass(frozen=True)
@@ -160,7 +181,7 @@ def sets(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
                 sizes.append(len(found))
                 high.append(int.from_bytes(digest[:8], "big", signed=True))
                 low.append(int.from_bytes(digest[8:], "big", signed=True))
-                bits.append(bitmap(found).tobytes())
+                bits.append(bitmap(found))
             columns = [b.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(bits, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "h1", "h2", "bits"])
 
@@ -203,7 +224,10 @@ def tile_rows(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
 
 
 def shared_tiles(rows: DataFrame) -> DataFrame:
-    """``tile, leader, id``: the rows of tiles in which different sets meet, with the smallest id there; equal sets once."""
+    """``tile, leader, id``: the rows of tiles in which different sets meet, with the smallest id there; equal sets once.
+
+    A tile is renamed to a hash of the sets in it, as near copies share many tiles: where the same sets meet again, they are the same tile.
+    """
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,12 +239,15 @@ def shared_tiles(rows: DataFrame) -> DataFrame:
         order = np.lexsort((ids, same, tile))
         tile, same, ids = tile[order], same[order], ids[order]
         new = np.append(True, (tile[1:] != tile[:-1]) | (same[1:] != same[:-1]))
-        tile, ids = tile[new], ids[new]
+        tile, same, ids = tile[new], same[new], ids[new]
         first = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
         sizes = np.diff(np.append(first, len(tile)))
         leader = np.repeat(np.minimum.reduceat(ids, first), sizes)
-        keep = np.repeat(sizes > 1, sizes)
-        tile, leader, ids = tile[keep], leader[keep], ids[keep]
+        name = mix(np.bitwise_xor.reduceat(mix(same.view(np.uint64) + ODD), first) ^ mix(sizes.astype(np.uint64)))
+        once = np.zeros(len(first), bool)
+        once[np.unique(name, return_index=True)[1]] = True
+        keep = np.repeat((sizes > 1) & once, sizes)
+        tile, leader, ids = np.repeat(name.view(np.int64), sizes)[keep], leader[keep], ids[keep]
         for lo in range(0, len(tile), 100_000):
             part = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (tile, leader, ids)], names=["tile", "leader", "id"])
@@ -241,9 +268,9 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, rule: Rule) -
             if not b.num_rows:
                 continue
             sizes = b.column(2).to_numpy() + b.column(4).to_numpy()
-            left, right = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS) for i in (3, 5))
-            differing = np.bitwise_count(left ^ right).sum(axis=1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(rule.could((sizes - differing) // 2, sizes)))
+            row = np.arange(b.num_rows)
+            apart = differing(b.column(3).to_pylist() + b.column(5).to_pylist(), row, row + b.num_rows)
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(rule.could((sizes - apart) // 2, sizes)))
 
     with_bits = pairs.join(sides("a"), "a").join(sides("b"), "b").select("a", "b", "a_n", "a_bits", "b_n", "b_bits")
     passed = written(with_bits.mapInArrow(bounded, f"a {kind}, b {kind}"), "jaccard-passed")
@@ -294,9 +321,9 @@ def block_pairs(members: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
             return
         table = pa.Table.from_batches(held).combine_chunks()
         tile, i, j, own, ids, comp, n = (table.column(c).to_numpy() for c in range(7))
-        bits = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
         order = np.lexsort((own, j, i, tile))
-        tile, i, j, own, ids, comp, n, bits = (x[order] for x in (tile, i, j, own, ids, comp, n, bits))
+        tile, i, j, own, ids, comp, n = (x[order] for x in (tile, i, j, own, ids, comp, n))
+        bits = table.column(7).take(pa.array(order)).to_pylist()
         new = np.append(True, (tile[1:] != tile[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
         start = np.flatnonzero(new)
         end = np.append(start[1:], len(tile))
@@ -317,8 +344,7 @@ def block_pairs(members: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
             apart = comp[x] != comp[y]
             x, y = x[apart], y[apart]
             both = n[x] + n[y]
-            differing = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
-            could = rule.could((both - differing) // 2, both)
+            could = rule.could((both - differing(bits, x, y)) // 2, both)
             a, b = ids[x[could]], ids[y[could]]
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])

@@ -87,7 +87,8 @@ def test_linked_sets_always_share_a_tile(rule):
             shared, union = len(np.intersect1d(one, two)), len(np.union1d(one, two))
             if shared and rule.den * shared >= rule.num * union:
                 assert len(np.intersect1d(near_duplicates.tiles(one, rule), near_duplicates.tiles(two, rule)))
-                bits = int(np.bitwise_count(near_duplicates.bitmap(one) ^ near_duplicates.bitmap(two)).sum())
+                maps = [near_duplicates.bitmap(one), near_duplicates.bitmap(two)]
+                bits = int(near_duplicates.differing(maps, np.array([0]), np.array([1]))[0])
                 assert (len(one) + len(two) - bits) // 2 >= shared
 
 
@@ -246,3 +247,33 @@ def test_hilbert_curve_visits_neighbours():
     assert sorted(keys) == list(range(512))
     ordered = points[np.argsort(keys)]
     assert (np.abs(np.diff(ordered, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_bitmaps_part_large_sets_just_below_the_threshold():
+    """Pairs of sets of 2,000 shingles with an overlap from a little below the threshold to a little above it."""
+    rule = near_duplicates.Rule(words=4, num=85, den=100)
+    rng = np.random.default_rng(1)
+    maps, sizes, overlap = [], [], []
+    for k in range(300):
+        n = int(rng.integers(1900, 2100))
+        own = rng.integers(0, 2**63, n).astype(np.uint64)
+        kept = int(n * rng.uniform(0.86, 0.98))
+        other = np.concatenate([own[:kept], rng.integers(0, 2**63, int(rng.integers(1900, 2100)) - kept).astype(np.uint64)])
+        maps += [near_duplicates.bitmap(np.unique(own)), near_duplicates.bitmap(np.unique(other))]
+        sizes.append(n + len(other))
+        overlap.append(kept)
+    x = np.arange(0, len(maps), 2)
+    sizes, overlap = np.array(sizes), np.array(overlap)
+    bound = (sizes - near_duplicates.differing(maps, x, x + 1)) // 2
+    links, passed = rule.could(overlap, sizes), rule.could(bound, sizes)
+    assert (bound >= overlap).all() and links.sum() > 50 and not (links & ~passed).any() and passed.sum() < 2 * links.sum()
+
+
+def test_bitmaps_of_different_widths():
+    rng = np.random.default_rng(2)
+    a, b = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (400, 700))
+    b[:390] = a[:390]
+    maps = [near_duplicates.bitmap(x) for x in (a, np.unique(b), np.empty(0, np.uint64))]
+    assert [len(m) * 8 for m in maps] == [1024, 2048, 1024]
+    apart = near_duplicates.differing(maps, np.array([0, 1, 0, 2]), np.array([1, 0, 2, 2]))
+    assert apart[0] == apart[1] <= 320 and apart[0] > 200 and apart[3] == 0 and apart[2] <= 400
