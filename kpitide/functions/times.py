@@ -84,3 +84,15 @@ def compact_to_millis(text: Column) -> Column:
 def duration_ms(start: Column, end: Column) -> Column:
     """Milliseconds between two compact times; longer texts, such as request ids, are cut to 17 characters."""
     return compact_to_millis(end) - compact_to_millis(start)
+
+
+def utc_millis(timestamp: Column) -> Column:
+    """Milliseconds since the epoch of a timestamp without time zone, read as UTC whatever the session time zone is."""
+    whole_days = F.unix_date(timestamp.cast("date")).cast("bigint") * 86_400_000
+    clock = F.hour(timestamp).cast("bigint") * 3_600_000 + F.minute(timestamp).cast("bigint") * 60_000
+    return whole_days + clock + F.floor(F.extract(F.lit("SECONDS"), timestamp) * 1000).cast("bigint")
+
+
+def utc_timestamp(millis: Column) -> Column:
+    """Timestamp without time zone, in UTC, of milliseconds since the epoch."""
+    return F.timestamp_add("MILLISECOND", millis, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

@@ -118,6 +118,30 @@ def with_reason(parsed: DataFrame, column: str = "value") -> DataFrame:
     return with_times(parsed).withColumn("reason", reason)
 
 
+#: Why a line cannot be counted.
+REASONS = [
+    "empty",
+    "bad_json",
+    "missing_service_name",
+    "missing_result",
+    "missing_province",
+    "bad_request_id",
+    "bad_start_time",
+    "bad_receive_time",
+    "missing_fee",
+    "bad_fee",
+]
+
+
+def checked_records(df: DataFrame, column: str = "value") -> DataFrame:
+    """The notifications and the lines that cannot be counted, from one parse: the columns of ``with_reason``, and the line itself in ``_line``
+    where there is a reason. Other kinds of record are left out.
+    """
+    line = F.struct(*[F.col(c) for c in df.columns])
+    checked = with_reason(parse_log(df, column), column).withColumn("_line", F.when(F.col("reason").isNotNull(), line))
+    return checked.where(F.col("reason").isNotNull() | equals_ignore_case(F.col("service_name"), S.RECHARGE_SERVICE))
+
+
 def rejected_records(df: DataFrame, column: str = "value") -> DataFrame:
     """The lines that cannot be counted, with the reason."""
     checked = with_reason(parse_log(df, column), column).where(F.col("reason").isNotNull())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpitide.plans import words as word_plans
 from kpitide.plans.fixture_sql import tokens
@@ -12,7 +13,8 @@ from kpitide.plans.recharge import COUNTER_PREFIX, grouping_sets_sql, window_sql
 from kpitide.plans.registry import Query
 from kpitide.session import scratch_path
 from kpitide.sources import tables
-from kpitide.streaming import jobs
+from kpitide.operators.project import base_rows
+from kpitide.streaming import event_time, jobs, keyed_state
 from kpitide.streaming.store import WholeResults
 
 LAST_VALUE_BATCHES = 8
@@ -90,7 +92,57 @@ def stream_top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WholeResults(spark, f"{path}/out", jobs.KEEP_BATCHES).newest()
 
 
+def stream_closing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows closed by the watermark, late orders and open windows together."""
+    path = scratch_path(spark, "stream-closing")
+    store = event_time.window_store(spark, f"{path}/windows")
+    jobs.run(event_time.closing_window_stream(_log_stream(spark, sf_dir), store, f"{path}/checkpoint", compact_every=2))
+    whole = event_time.all_windows(store, f"{path}/checkpoint")
+    return whole.select("window_start", "window_end", "orders", "succ", F.col("fee").cast("double").alias("money"))
+
+
+def stream_state_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-state-running")
+    seed = word_plans.seed(spark, sf_dir)
+    table, parts = tables.stream_parts(spark, sf_dir, "conversations", "conv_id")
+    lines = tables.word_lines(table)
+    keys = T.StructType([lines.schema[k] for k in word_plans.LINE_KEYS])
+    for _ in parts:
+        jobs.run(keyed_state.numbered_stream(lines, word_plans.LINE_KEYS, f"{path}/numbered", f"{path}/first"))
+        jobs.run(keyed_state.running_state_stream(f"{path}/numbered", keys, spark, f"{path}/out", f"{path}/second", seed))
+    return spark.read.parquet(f"{path}/out/counts").drop("run", "batch_id")
+
+
+def stream_state_seeded_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-state-seeded")
+    seed = word_plans.seed(spark, sf_dir)
+    latest = jobs.seeded_rows(spark, f"{path}/out")
+    jobs.run(keyed_state.seeded_state_stream(_line_stream(spark, sf_dir), seed, latest, f"{path}/checkpoint", compact_every=2))
+    return jobs.seeded_counts(latest)
+
+
+def stream_state_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums that expire in the state; the write times go on from part to part."""
+    path = scratch_path(spark, "stream-state-ttl")
+    latest = keyed_state.expiring_rows(spark, f"{path}/out")
+    table, parts = tables.stream_ranges(spark, sf_dir, "events", tables.batch_id())
+    rows = base_rows(tables.recharge_log(table), "batch_id").withColumn("write_time", tables.write_time())
+    for _ in parts:
+        jobs.run(keyed_state.expiring_stream(rows, recharge.RESTART_TTL, latest, f"{path}/checkpoint", compact_every=2))
+    return keyed_state.held_totals(latest, recharge.RESTART_TTL)
+
+
+RUNNING_SQL = f"""WITH {tokens()}, {word_plans.SEED_SQL}
+            SELECT conv_id, turn, line, pos, t.word,
+                   coalesce(n0, 0) + count(*) OVER (PARTITION BY t.word ORDER BY conv_id % 4, conv_id, turn, line, pos
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
+            FROM tokens t LEFT JOIN seed ON seed.word = t.word"""
+
 QUERIES = {
+    "stream_closing_windows": Query(stream_closing_windows, window_sql("minute")),
+    "stream_state_running_count": Query(stream_state_running_count, RUNNING_SQL),
+    "stream_state_seeded_count": Query(stream_state_seeded_count, word_plans.QUERIES["seeded_word_count"].sql),
+    "stream_state_ttl": Query(stream_state_ttl, recharge.QUERIES["kpi_ttl_restart"].sql),
     "stream_minute_window": Query(stream_minute_window, window_sql("minute")),
     "stream_success_counter": Query(stream_success_counter, recharge.QUERIES["daily_success_counter"].sql),
     "stream_last_value": Query(stream_last_value, recharge.last_value_sql(f"seq % {LAST_VALUE_BATCHES}")),
@@ -100,12 +152,5 @@ QUERIES = {
     "word_count_cumulative": Query(
         word_count_cumulative, f"WITH {tokens(',')} SELECT word, count(*) AS n FROM tokens GROUP BY word"
     ),
-    "stream_running_count": Query(
-        stream_running_count,
-        f"""WITH {tokens()}, {word_plans.SEED_SQL}
-            SELECT conv_id, turn, line, pos, t.word,
-                   coalesce(n0, 0) + count(*) OVER (PARTITION BY t.word ORDER BY conv_id % 4, conv_id, turn, line, pos
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
-            FROM tokens t LEFT JOIN seed ON seed.word = t.word""",
-    ),
+    "stream_running_count": Query(stream_running_count, RUNNING_SQL),
 }

@@ -49,6 +49,22 @@ def stream_parts(spark: SparkSession, sf_dir: str, name: str, key: str, parts: i
     return spark.readStream.schema(df.schema).parquet(path), add()
 
 
+def stream_ranges(spark: SparkSession, sf_dir: str, name: str, order: Column, parts: int = STREAM_BATCHES) -> tuple[DataFrame, Iterator[int]]:
+    """The table as a stream of a growing folder, in the order of a whole number: each step adds the rows of the next of equal ranges."""
+    df = table(spark, sf_dir, name)
+    path = scratch_path(spark, f"ranges-{name}")
+    spark.createDataFrame([], df.schema).write.parquet(path)
+    low, high = df.agg(F.min(order), F.max(order)).first()
+
+    def add() -> Iterator[int]:
+        for part in range(parts if low is not None else 0):
+            at = F.floor((order - low) * parts / (high - low + 1))
+            df.where(at == part).write.mode("append").parquet(path)
+            yield part
+
+    return spark.readStream.schema(df.schema).parquet(path), add()
+
+
 def batch_id() -> Column:
     """Number of the ten-minute interval of ``ts``, counted from the epoch."""
     per_day = 24 * 60 // BATCH_MINUTES

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +17,8 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from kpitide import schemas as S
 from kpitide.operators import keyed, kpi, words
-from kpitide.operators.parse import rejected_records
-from kpitide.operators.project import base_rows
+from kpitide.operators.parse import REASONS, checked_records, rejected_records
+from kpitide.operators.project import base_projection, base_rows
 from kpitide.session import scratch_path
 from kpitide.sources import kafka
 from kpitide.sources.folders import Folders
@@ -27,6 +28,8 @@ from kpitide.streaming.store import SEED_BATCH, WholeResults
 
 # Name of the KPI query in its progress reports.
 KPI_QUERY = "kpi"
+# Name of the numbers of good and rejected lines in them.
+CHECKED = "checked"
 
 # Newest micro-batches of which a whole result is kept.
 KEEP_BATCHES = 3
@@ -87,23 +90,43 @@ def kpi_stream(
 ) -> StreamingQuery:
     """All KPI grains of each micro-batch, from one pass over it, into the stored cells.
 
-    No state is kept in Spark: an order adds to its own day however late it comes. With ``rejects``, a path, the lines that cannot
-    be counted are written from the same pass, one folder per run and batch.
+    No state is kept in Spark: an order adds to its own day however late it comes. With ``rejects``, a path, the lines that cannot be counted
+    are written from the same parse, one folder per run and batch, and their numbers by reason are in the query's progress (``reject_counts``).
     """
     sums.begin(checkpoint)
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        if rejects:
-            batch = batch.persist()
-        cells = kpi.all_grains(base_rows(batch, column=column))
+    def add(cells: DataFrame, batch_id: int) -> None:
         sums.put(cells, batch_id, write_time(batch_id) if write_time else None)
-        if rejects:
-            bad = rejected_records(batch, column)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        add(kpi.all_grains(base_rows(batch, column=column)), batch_id)
+        sums.after_batch(batch_id, compact_every)
+
+    def put_checked(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            add(kpi.all_grains(batch.where(F.col("reason").isNull())), batch_id)
+            bad = batch.where(F.col("reason").isNotNull()).select("_line.*", "reason")
             bad.write.mode("overwrite").parquet(f"{rejects}/run={sums.run}/batch_id={batch_id}")
+        finally:
             batch.unpersist()
         sums.after_batch(batch_id, compact_every)
 
-    return start(log.writeStream.queryName(KPI_QUERY).foreachBatch(put), checkpoint, every)
+    if not rejects:
+        return start(log.writeStream.queryName(KPI_QUERY).foreachBatch(put), checkpoint, every)
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    checked = base_projection(checked_records(log, column), "reason", "_line").observe(CHECKED, *counts, F.count_if(F.col("reason").isNull()).alias("good"))
+    return start(checked.writeStream.queryName(KPI_QUERY).foreachBatch(put_checked), checkpoint, every)
+
+
+def reject_counts(query: StreamingQuery) -> dict[str, int]:
+    """Lines of a KPI query by the reason why they were not counted, and ``good`` ones, over the micro-batches whose progress Spark still has."""
+    found: dict[str, int] = dict.fromkeys([*REASONS, "good"], 0)
+    for progress in query.recentProgress:
+        seen = progress.observedMetrics.get(CHECKED)
+        for name, n in seen.asDict().items() if seen is not None else ():
+            found[name] += n
+    return found
 
 
 def daily_totals_stream(

@@ -258,7 +258,7 @@ def test_bitmaps_part_large_sets_just_below_the_threshold():
         n = int(rng.integers(1900, 2100))
         own = rng.integers(0, 2**63, n).astype(np.uint64)
         kept = int(n * rng.uniform(0.86, 0.98))
-        other = np.concatenate([own[:kept], rng.integers(0, 2**63, int(rng.integers(1900, 2100)) - kept).astype(np.uint64)])
+        other = np.concatenate([own[:kept], rng.integers(0, 2**63, max(0, int(rng.integers(1900, 2100)) - kept)).astype(np.uint64)])
         maps += [near_duplicates.bitmap(np.unique(own)), near_duplicates.bitmap(np.unique(other))]
         sizes.append(n + len(other))
         overlap.append(kept)
