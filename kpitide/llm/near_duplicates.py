@@ -43,6 +43,7 @@ SLICINGS = 4
 LEADER_ROUNDS = 4
 WORTH_A_ROUND = 0.05  # share of a round's pairs that must link for another round of leaders
 BLOCK = 512
+SALTS = 16
 PAIRS_AT_ONCE = 200_000
 SEEN_AT_ONCE = 1_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -275,16 +276,14 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, rule: Rule) -
     with_bits = pairs.join(sides("a"), "a").join(sides("b"), "b").select("a", "b", "a_n", "a_bits", "b_n", "b_bits")
     passed = written(with_bits.mapInArrow(bounded, f"a {kind}, b {kind}"), "jaccard-passed")
 
-    # The leader's text comes once, then the texts of all it is held against.
-    own = passed.select("a").distinct().join(texts, F.col("a") == texts["id"]).select("a", F.lit(0).alias("kind"), F.col("a").alias("b"), "text")
-    other = passed.join(texts, F.col("b") == texts["id"]).select("a", F.lit(1).alias("kind"), "b", "text")
-    # A leader of many is dealt out to several tasks, each with its own text.
-    salt = F.pmod(F.xxhash64("b"), F.lit(16)).cast("int")
-    own = own.select("a", "kind", "b", "text", F.explode(F.array(*[F.lit(i) for i in range(16)])).alias("salt"))
-    busy = passed.groupBy("a").agg(F.count(F.lit(1)).alias("n_pairs"))
-    own = own.join(busy, "a").where((F.col("n_pairs") > BLOCK) | (F.col("salt") == 0)).drop("n_pairs")
-    other = other.withColumn("salt", salt).join(busy, "a").withColumn("salt", F.when(F.col("n_pairs") > BLOCK, F.col("salt")).otherwise(0)).drop("n_pairs")
-    rows = own.unionByName(other).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").select("a", "kind", "b", "text")
+    # The leader's text comes once, then the texts of all it is held against. A leader of many is dealt out to as many tasks as it fills, each
+    # with its text. Who needs which text is settled first, so that texts are joined once.
+    busy = passed.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("tasks"))
+    own = busy.select("a", F.lit(0).alias("kind"), F.col("a").alias("b"), F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"))
+    salt = F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("salt")
+    other = passed.join(busy, "a").select("a", F.lit(1).alias("kind"), "b", salt)
+    rows = own.unionByName(other).join(texts, F.col("b") == texts["id"]).select("a", "salt", "kind", "b", "text")
+    rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").select("a", "kind", "b", "text")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.empty(0, np.uint64)
@@ -364,23 +363,33 @@ def joined(labels: DataFrame, more: DataFrame) -> DataFrame:
     return written(out, "jaccard-labels")
 
 
+def nodes(known: DataFrame) -> DataFrame:
+    """``id, node`` of each id: the smallest id with an equal set. Ids of a frequent set are dealt to ``SALTS`` tasks: each has a first id there, and these the first of all."""
+    salted = known.select("id", "n", "h1", "h2", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    of_set = ["n", "h1", "h2"]
+    first = salted.groupBy(*of_set, "salt").agg(F.min("id").alias("first"))
+    of_id = salted.join(first, [*of_set, "salt"]).select(*of_set, "first", "id")
+    node = first.groupBy(*of_set).agg(F.min("first").alias("node"))
+    of_first = first.join(node, of_set).select(*of_set, "first", "node").distinct()
+    return of_id.join(of_first, [*of_set, "first"]).select("id", "node").distinct()
+
+
 def group(docs: DataFrame, rule: Rule, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_shingles, component``: size of each text's set, and the smallest id it can reach by links."""
     known = written(sets(docs, rule, key, text), "jaccard-sets")
-    equal = known.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("node"))
-    of_node = known.where("n > 0").join(equal, ["n", "h1", "h2"]).select("id", "node").distinct()
-    of_node = written(of_node, "jaccard-nodes")
+    of_node = written(nodes(known.where("n > 0")), "jaccard-nodes")
 
     shared = written(shared_tiles(tile_rows(docs, rule, key, text)), "jaccard-tiles")
-    nodes = of_node.select(F.col("id").alias("_id"), "node")
-    members = shared.join(nodes, shared["id"] == nodes["_id"]).select("tile", "leader", F.col("node").alias("id"))
+    of_id = of_node.select(F.col("id").alias("_id"), "node")
+    members = shared.join(of_id, shared["id"] == of_id["_id"]).select("tile", "leader", F.col("node").alias("id"))
     leaders = of_node.select(F.col("id").alias("leader"), F.col("node").alias("a"))
     members = written(members.join(leaders, "leader").select("tile", "a", "id").distinct(), "jaccard-members")
 
     ids = written(members.select("id").distinct(), "jaccard-ids")
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+    # Both by shuffle at any size, as the ids are too many to broadcast in a large table.
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids.hint("merge"), "id", "left_semi")
     texts = written(texts, "jaccard-texts")
-    some = written(known.join(ids, "id", "left_semi").select("id", "n", "bits"), "jaccard-some")
+    some = written(known.join(ids.hint("merge"), "id", "left_semi").select("id", "n", "bits"), "jaccard-some")
 
     tried = members.where("a != id").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
     tried = written(tried, "jaccard-pairs")
