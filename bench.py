@@ -48,7 +48,7 @@ def seconds(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
     spark = build_session(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,19 @@ def parse_log(df: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select(*df.columns, *fields, corrupt)
 
 
+def parse_log_variant(df: DataFrame, column: str = "value") -> DataFrame:
+    """``parse_log`` through a VARIANT: the line is parsed without a schema, and fields are taken out by path.
+
+    A number is given as text in its shortest form, so 1.50 is 1.5.
+    """
+    listed = F.concat(F.lit("["), F.col(column), F.lit("]"))
+    parsed = F.when(_is_object(F.col(column)), F.try_parse_json(listed))
+    held = df.select("*", F.inline(F.array(F.struct(parsed.alias("_parsed")))))
+    one = F.try_variant_get("_parsed", "$[0]", "variant").isNotNull() & F.try_variant_get("_parsed", "$[1]", "variant").isNull()
+    fields = [F.when(one, F.try_variant_get("_parsed", f"$[0].{field}", "string")).alias(name) for name, field in PARSED_COLUMNS.items()]
+    return held.select(*df.columns, *fields, F.when(~F.coalesce(one, F.lit(False)), F.col(column)).alias(S.CORRUPT))
+
+
 def amount(chargefee: Column) -> Column:
     """Money from text, to two decimals; NULL if it is no number."""
     return F.nullif(chargefee, F.lit("")).try_cast(S.MONEY)
@@ -142,9 +157,9 @@ def checked_records(df: DataFrame, column: str = "value") -> DataFrame:
     return checked.where(F.col("reason").isNotNull() | equals_ignore_case(F.col("service_name"), S.RECHARGE_SERVICE))
 
 
-def rejected_records(df: DataFrame, column: str = "value") -> DataFrame:
+def rejected_records(df: DataFrame, column: str = "value", parse: Callable[[DataFrame, str], DataFrame] = parse_log) -> DataFrame:
     """The lines that cannot be counted, with the reason."""
-    checked = with_reason(parse_log(df, column), column).where(F.col("reason").isNotNull())
+    checked = with_reason(parse(df, column), column).where(F.col("reason").isNotNull())
     return checked.drop(*PARSED_COLUMNS, *TIME_COLUMNS, S.CORRUPT)
 
 

@@ -43,6 +43,16 @@ def parse_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("seq", *[c for c in P.PARSED_COLUMNS if c != "chargefee"], fee)
 
 
+def parse_log_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = P.parse_log_variant(log(spark, sf_dir))
+    fee = P.amount(F.col("chargefee")).cast("double").alias("fee")
+    return parsed.select("seq", *[c for c in P.PARSED_COLUMNS if c != "chargefee"], fee)
+
+
+def rejected_records_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.rejected_records(tables.damaged_log(tables.table(spark, sf_dir, "events")), parse=P.parse_log_variant)
+
+
 def filter_recharge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.filter_recharge(P.parse_log(log(spark, sf_dir))).select("seq", "service_name", "request_id")
 
@@ -364,3 +374,5 @@ QUERIES = {
     "kpi_hour_window": Query(_window("1 hour"), window_sql("hour")),
     "kpi_day_window": Query(_window("1 day"), window_sql("day")),
 }
+QUERIES["parse_log_variant"] = Query(parse_log_variant, QUERIES["parse_log"].sql)
+QUERIES["rejected_records_variant"] = Query(rejected_records_variant, QUERIES["rejected_records"].sql)

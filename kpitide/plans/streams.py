@@ -14,7 +14,8 @@ from kpitide.plans.registry import Query
 from kpitide.session import scratch_path
 from kpitide.sources import tables
 from kpitide.operators.project import base_rows
-from kpitide.streaming import event_time, jobs, keyed_state
+from kpitide.schemas import rows_of
+from kpitide.streaming import event_time, jobs, keyed_state, top
 from kpitide.streaming.store import WholeResults
 
 LAST_VALUE_BATCHES = 8
@@ -132,6 +133,24 @@ def stream_state_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_state.held_totals(latest, recharge.RESTART_TTL)
 
 
+def stream_top10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-top-sketch")
+    store = top.top_store(spark, path)
+    jobs.run(top.top_sketch_stream(_line_stream(spark, sf_dir), store, f"{path}/checkpoint", compact_every=2))
+    return top.top_words(store)
+
+
+def stream_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines by reason, as the progress of the KPI query counts them beside the KPIs; one row per reason comes from the driver."""
+    path = scratch_path(spark, "stream-rejects")
+    sums = jobs.kpi_sums(spark, f"{path}/cells")
+    log = tables.damaged_log(tables.stream_table(spark, sf_dir, "events"))
+    query = jobs.kpi_stream(log, sums, f"{path}/checkpoint", rejects=f"{path}/rejects")
+    jobs.run(query)
+    counts = [(reason, n) for reason, n in jobs.reject_counts(query).items() if n]
+    return rows_of(spark, counts, "reason", "n").withColumn("n", F.col("n").cast("bigint"))
+
+
 RUNNING_SQL = f"""WITH {tokens()}, {word_plans.SEED_SQL}
             SELECT conv_id, turn, line, pos, t.word,
                    coalesce(n0, 0) + count(*) OVER (PARTITION BY t.word ORDER BY conv_id % 4, conv_id, turn, line, pos
@@ -139,6 +158,14 @@ RUNNING_SQL = f"""WITH {tokens()}, {word_plans.SEED_SQL}
             FROM tokens t LEFT JOIN seed ON seed.word = t.word"""
 
 QUERIES = {
+    "stream_top10_sketch": Query(stream_top10_sketch, word_plans.QUERIES["top10_words"].sql),
+    "stream_reject_counts": Query(
+        stream_reject_counts,
+        f"""WITH rejected AS ({recharge.QUERIES["rejected_records"].sql}),
+            kept AS ({recharge.QUERIES["rejects_left_out"].sql})
+            SELECT reason, count(*) AS n FROM rejected GROUP BY reason
+            UNION ALL SELECT 'good' AS reason, CAST(sum(orders) AS BIGINT) AS n FROM kept""",
+    ),
     "stream_closing_windows": Query(stream_closing_windows, window_sql("minute")),
     "stream_state_running_count": Query(stream_state_running_count, RUNNING_SQL),
     "stream_state_seeded_count": Query(stream_state_seeded_count, word_plans.QUERIES["seeded_word_count"].sql),

@@ -95,15 +95,15 @@ LEDGER_SCHEMA = T.StructType(
 )
 
 
-def _rows(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+def rows_of(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
     """A small table of literals. It is made in the JVM, so that reading it starts no Python worker."""
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def provinces(spark: SparkSession) -> DataFrame:
-    return _rows(spark, PROVINCES, "code", "name")
+    return rows_of(spark, PROVINCES, "code", "name")
 
 
 def seed_words(spark: SparkSession) -> DataFrame:
-    return _rows(spark, SEED_WORDS, "word", "n0").withColumn("n0", F.col("n0").cast("bigint"))
+    return rows_of(spark, SEED_WORDS, "word", "n0").withColumn("n0", F.col("n0").cast("bigint"))

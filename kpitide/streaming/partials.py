@@ -48,6 +48,10 @@ class PartialSums(BatchStore):
         """Cumulative sums; with a ``ttl``, since each key last began."""
         return self._fold(self._held(self.entries(before)))
 
+    def of_keys(self, key: str, values: Sequence[str]) -> DataFrame:
+        """Cumulative sums of a few values of a key column; the others are left out before the sum."""
+        return self._fold(self._held(self.entries().where(F.col(key).isin(list(values)))))
+
     def live(self, as_of: Column) -> DataFrame:
         """Cumulative sums of the keys that have not expired at ``as_of``."""
         return self._fold(self._held(self.entries()).where(F.col("expires_at") > as_of))

@@ -201,3 +201,27 @@ def test_white_space_around_an_object_and_text_after_it(spark):
     assert sorted(r["value"] for r in parse.rejected_records(df).collect()) == sorted(bad)
     blank = spark.createDataFrame([(" \n",), ("\t",)], "value string")
     assert {r["reason"] for r in parse.rejected_records(blank).collect()} == {"empty"}
+
+
+def test_variant_parse_equals_the_schema_parse(spark):
+    lines = [
+        GOOD_LINE := '{"serviceName":"reChargeNotifyReq","bussinessRst":"0000","chargefee":"1.50","provinceCode":"100","requestId":"1","receiveNotifyTime":"2"}',
+        GOOD_LINE + " ",
+        " \n\t" + GOOD_LINE + "\r\n",
+        GOOD_LINE + GOOD_LINE,
+        GOOD_LINE + "," + GOOD_LINE,
+        GOOD_LINE[:30],
+        '{"serviceName":null,"chargefee":12}',
+        '{"serviceName":"a","other":{"serviceName":"b"}}',
+        "{}",
+        "[]",
+        "1",
+        "",
+        "  ",
+        None,
+        '{"serviceName":"\\u0072x"}',
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "seq int, value string")
+    one, two = (sorted(map(tuple, f(df).collect())) for f in (parse.parse_log, parse.parse_log_variant))
+    assert [r[:-1] for r in one] == [r[:-1] for r in two]
+    assert [r[0] for r in one if r[-1] is not None] == [r[0] for r in two if r[-1] is not None]

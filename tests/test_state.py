@@ -1,6 +1,8 @@
 """Jobs that keep state in Spark, and the sink that writes to an outside store once."""
 
 import json
+import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 from kpitide.operators import kpi
 from kpitide.operators.parse import rejected_records
 from kpitide.operators.project import base_rows
-from kpitide.streaming import event_time, jobs, keyed_state, once
+from kpitide.streaming import event_time, jobs, keyed_state, once, top
 from tests.test_streaming import Folder, as_set, folder, held, record, sample_lines  # noqa: F401
 
 MINUTES = [0, 0, 1, 30, 31, 0, 29, 60, 90, 2, 5, 61, 0, 1, 45, 46, 47, 48, 200, 3]
@@ -212,3 +214,46 @@ def test_a_new_run_adds_to_the_outside_store(spark, folder, tmp_path):  # noqa:
     later.put("b")
     jobs.run(once.once_stream(later.stream(spark), lambda: once.FileStore(path), runs, str(tmp_path / "cp2")))
     assert stored(path) == ["a", "b"]
+
+
+# Top words by mergeable sketches
+
+
+def word_folder(folder, rng, batches, words):  # noqa: F811
+    lines = []
+    for _ in range(batches):
+        some = [" ".join(rng.choice(words) for _ in range(50)) for _ in range(20)]
+        lines += some
+        folder.put(*some)
+    return lines
+
+
+def exact_top(lines, k):
+    counts = Counter(w for line in lines for w in line.split(" "))
+    return sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:k]
+
+
+def test_top_words_by_sketch_are_exact_on_skewed_words(spark, folder, tmp_path):  # noqa: F811
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(1, 8) for _ in range(2000 // i)] + [f"rare{i}" for i in range(4000)]
+    store = top.top_store(spark, str(tmp_path / "top"), tracked=256)
+    lines = word_folder(folder, rng, 3, words)
+    jobs.run(top.top_sketch_stream(folder.stream(spark), store, str(tmp_path / "cp"), compact_every=2))
+    assert [tuple(r) for r in top.top_words(store, 5).collect()] == exact_top(lines, 5)
+    counts = dict(exact_top(lines, 10**6))
+    named, tokens = store[0].named(40)
+    assert tokens == sum(counts.values()) and len(counts) > 256
+    bound = top.ERROR * tokens / 256
+    assert all(counts[w] <= n <= counts[w] + bound for w, n in named)  # never too low, and too high by no more than the bound
+    lines += word_folder(folder, rng, 1, ["late", "w1", "w2"])
+    jobs.run(top.top_sketch_stream(folder.stream(spark), store, str(tmp_path / "cp"), compact_every=2))
+    assert [tuple(r) for r in top.top_words(store, 5).collect()] == exact_top(lines, 5)
+
+
+def test_top_words_that_a_sketch_cannot_tell_apart(spark, folder, tmp_path):  # noqa: F811
+    rng = random.Random(6)
+    store = top.top_store(spark, str(tmp_path / "top"), tracked=32)
+    assert top.top_words(store, 3).collect() == []
+    lines = word_folder(folder, rng, 2, [f"w{i}" for i in range(400)])
+    jobs.run(top.top_sketch_stream(folder.stream(spark), store, str(tmp_path / "cp")))
+    assert [tuple(r) for r in top.top_words(store, 3).collect()] == exact_top(lines, 3)
