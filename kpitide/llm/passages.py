@@ -1,9 +1,13 @@
 """Removal of passages that other documents have too, by hashed runs of sentences.
 
-A text is cut into sentences at line ends and after ``. ! ?``. Every run of at least two consecutive sentences counts, however short (``RUN_WORDS``
+A text is cut into sentences at line ends and after ``. ! ?``. Every run of at least two consecutive sentences is compared, however short (``RUN_WORDS``
 is 0). Only the pairs of neighbours are hashed: where a longer run is repeated, so are its pairs, and they cover the same sentences. A sentence
-of ``LONG_WORDS`` words is a run by itself. Runs are joined over all documents; of each run the first place stays (smallest id, then first in the text),
-and sentences that any other place covers are removed. White space does not count in the comparison.
+of ``LONG_WORDS`` words is a run by itself, as it is about as long as a passage; the sentences around it may be cut off. Runs are joined over all
+documents; of each run the first place stays (smallest id, then first in the text). White space does not count in the comparison.
+
+What other places cover is decided by whole spans: runs that share a sentence are one span, and a span of ``SPAN_WORDS`` words or more is removed. Shorter
+spans are stock phrases, which stay: over 10,000 documents spans of 9 words alone are a quarter of all, and from 15 words on hardly any document
+comes in with a lower floor (1,738 documents lose text with 15, 1,685 with 20, 1,869 with 12, 4,153 with none).
 
 A passage that begins and ends in the middle of sentences is found by the whole sentences in it, if there are two. A
 document repeats a run at most once in the shuffle: further places in the same text are known without it. Documents are
@@ -16,7 +20,7 @@ with a null id is not compared. Other columns stay.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -27,6 +31,7 @@ from kpitide.llm.common import written
 
 RUN_WORDS = 0  # words that a run of several sentences must have: with more, what is left of a passage in foreign text would stay
 LONG_WORDS = 40
+SPAN_WORDS = 15
 BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
 
@@ -68,6 +73,25 @@ def runs(parts: list[str]) -> list[tuple[int, int, str]]:
     return [(i, k, "\x1f".join(bare[i : i + k])) for i, k in sorted(found) if sizes[i]]  # white space before the first sentence is none
 
 
+def long_spans(parts: list[str], covered: Iterable[tuple[int, int]]) -> set[int]:
+    """The sentences to go: of covered runs, (first sentence, number of sentences), those that make up a span that is long enough."""
+    gone: set[int] = set()
+    begin = end = 0
+
+    def close() -> None:
+        if sum(len(parts[i].split()) for i in range(begin, end)) >= SPAN_WORDS:
+            gone.update(range(begin, end))
+
+    for first, size in sorted(covered):
+        if first < end:
+            end = max(end, first + size)
+        else:
+            close()
+            begin, end = first, first + size
+    close()
+    return gone
+
+
 def run_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``id, h, c, first, size, again``: hash of each run of each text. ``again``: the text had it before."""
 
@@ -105,7 +129,7 @@ def covered(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with covered sentences cut out of their texts, and ``n_sentences`` and ``n_removed`` at the end."""
+    """The documents with long enough covered spans cut out of their texts, and ``n_sentences`` and ``n_removed`` at the end."""
     spans = covered(docs, key, text)
     others = [c for c in docs.columns if c not in (key, text)]
     inner = [f"_{i}" for i in range(len(others))]
@@ -119,7 +143,7 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             for t, gone in zip(b.column(1), b.column(2), strict=True):
                 t, gone = t.as_py(), gone.as_py()
                 parts = sentences(t or "")
-                drop = {i for s in gone or () for i in range(s["first"], s["first"] + s["size"])}
+                drop = long_spans(parts, ((s["first"], s["size"]) for s in gone or ()))
                 texts.append("".join(p for i, p in enumerate(parts) if i not in drop) if drop else t)
                 counts.append(len(parts))
                 removed.append(len(drop))

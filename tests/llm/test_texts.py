@@ -174,10 +174,21 @@ def plain_removal(rows):
                     break
         for i, k in sorted(spans):
             of_run[tuple(bare[i : i + k])].append((doc, i, k))
-    gone = defaultdict(set)
+    joined = defaultdict(lambda: defaultdict(set))  # of a document, sentences that a covered run joins to others
     for places in of_run.values():
         for doc, i, k in sorted(places)[1:]:
-            gone[doc].update(range(i, i + k))
+            for x in range(i, i + k):
+                joined[doc][x].update(range(i, i + k))
+    gone = defaultdict(set)
+    for doc, text in rows:
+        words = [len(p.split()) for p in passages.sentences(text or "")]
+        for x in joined[doc]:
+            span, grown = {x}, True
+            while grown:
+                more = set().union(*(joined[doc][y] for y in span))
+                grown, span = more != span, more
+            if sum(words[y] for y in span) >= passages.SPAN_WORDS:
+                gone[doc] |= span
     return {doc: "".join(p for i, p in enumerate(passages.sentences(text or "")) if i not in gone[doc]) for doc, text in rows}
 
 
@@ -211,12 +222,16 @@ def test_passages_that_stand_in_mid_sentence(spark):
     passage = first + middle + last  # 53 words; within foreign sentences the last two sentences have 22
     rows = [(1, "Own one. " + passage + " Own two."), (2, "Foreign words go on " + passage + " Other end."), (3, "More of it " + passage + " The third."), (4, "\n\nShort it is."), (5, "\n\nShort it is.")]
     rows += [(6, "Not yet. Yes now. And then."), (7, "So far. Yes now. And then. Or so.")]
+    three = "One two three four five six. Seven eight nine ten eleven. Twelve thirteen fourteen fifteen."
+    rows += [(8, "Begin here. " + three + " End."), (9, "Other start. " + three + " Stop."), (10, "Gg. Gg."), (11, "Gg. Gg.")]
     found = {r.doc_id: (r.text, r.n_removed) for r in passages.remove(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert found[1] == (rows[0][1], 0)
     assert found[2] == ("Foreign words go on " + first + "Other end.", 2)
     assert found[3] == ("More of it " + first + "The third.", 2)
     assert found[4] == found[5] == ("\n\nShort it is.", 0)
-    assert found[6][1] == 0 and found[7] == ("So far. Or so.", 2)
+    assert found[6][1] == 0 and found[7] == (rows[6][1], 0)  # stock phrases stay
+    assert found[8][1] == 0 and found[9] == ("Other start. Stop.", 3)  # each pair is short, the span is not
+    assert found[10] == found[11] == ("Gg. Gg.", 0)
 
 
 def check_packing(pieces, texts, window, end_id=1):
