@@ -27,12 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, batches: int = STREAM_BATCHES) -> DataFrame:
-    """The table as a stream of about ``batches`` micro-batches: dealt to files in the shared folder, some of which make a batch."""
+    """The table as a stream of ``batches`` micro-batches: dealt to files in the shared folder, of which as many make a batch as tasks can run at a time."""
     df = table(spark, sf_dir, name)
-    files = batches * -(-max(batches, spark.sparkContext.defaultParallelism) // batches)
+    per_batch = spark.sparkContext.defaultParallelism
     path = scratch_path(spark, f"stream-{name}")
-    df.repartition(files).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files // batches).parquet(path)
+    df.repartition(batches * per_batch).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 def stream_parts(spark: SparkSession, sf_dir: str, name: str, key: str, parts: int = STREAM_BATCHES) -> tuple[DataFrame, Iterator[int]]:

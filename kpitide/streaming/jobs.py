@@ -99,7 +99,7 @@ def kpi_stream(
         sums.put(cells, batch_id, write_time(batch_id) if write_time else None)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        add(kpi.all_grains(base_rows(batch, column=column)), batch_id)
+        add(kpi.all_grains(batch), batch_id)
         sums.after_batch(batch_id, compact_every)
 
     def put_checked(batch: DataFrame, batch_id: int) -> None:
@@ -113,7 +113,8 @@ def kpi_stream(
         sums.after_batch(batch_id, compact_every)
 
     if not rejects:
-        return start(log.writeStream.queryName(KPI_QUERY).foreachBatch(put), checkpoint, every)
+        # The rows are planned with the stream, once, not anew for each micro-batch.
+        return start(base_rows(log, column=column).writeStream.queryName(KPI_QUERY).foreachBatch(put), checkpoint, every)
     counts = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
     checked = base_projection(checked_records(log, column), "reason", "_line").observe(CHECKED, *counts, F.count_if(F.col("reason").isNull()).alias("good"))
     return start(checked.writeStream.queryName(KPI_QUERY).foreachBatch(put_checked), checkpoint, every)
@@ -143,13 +144,13 @@ def daily_totals_stream(
         counters.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        rows = base_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         show(kpi.batch_totals(rows), batch_id)
         if counters is not None:
             counters.put(keyed.success_counter(rows, prefix), batch_id)
             counters.after_batch(batch_id, compact_every)
 
-    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+    return start(base_rows(log).writeStream.foreachBatch(put), checkpoint, every)
 
 
 def reject_stream(log: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -173,10 +174,10 @@ def window_stream(
     sums.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        sums.put(kpi.window_sums(base_rows(batch), width), batch_id)
+        sums.put(kpi.window_sums(batch, width), batch_id)
         sums.after_batch(batch_id, compact_every)
 
-    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+    return start(base_rows(log).writeStream.foreachBatch(put), checkpoint, every)
 
 
 def counter_sums(spark: SparkSession, path: str) -> PartialSums:
@@ -190,10 +191,10 @@ def counter_stream(
     sums.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        sums.put(keyed.success_counter(base_rows(batch), prefix), batch_id)
+        sums.put(keyed.success_counter(batch, prefix), batch_id)
         sums.after_batch(batch_id, compact_every)
 
-    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+    return start(base_rows(log).writeStream.foreachBatch(put), checkpoint, every)
 
 
 def last_kpi_rows(spark: SparkSession, path: str, ttl: int | None = None) -> LatestRows:
@@ -213,11 +214,11 @@ def overwrite_stream(
     latest.begin(checkpoint)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        cells = kpi.all_grains(base_rows(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint")), "batch_id")
+        cells = kpi.all_grains(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "batch_id")
         latest.put(keyed.last_batch_kpis(cells), batch_id, write_time(batch_id) if write_time else None)
         latest.after_batch(batch_id, compact_every)
 
-    return start(log.writeStream.foreachBatch(put), checkpoint, every)
+    return start(base_rows(log).writeStream.foreachBatch(put), checkpoint, every)
 
 
 def last_kpis(latest: LatestRows) -> DataFrame:
