@@ -24,11 +24,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_AT_MOST = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches of a few MB between Spark and Python, unless the session says otherwise: texts are long, and a task holds several copies of a batch."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(BATCH_AT_MOST))
+
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this library's code, once per application, as ``--py-files`` would."""
+    """Give the executors this library's code, once per application, as ``--py-files`` would; and set the size of batches."""
+    bounded_batches(spark)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -5,7 +5,10 @@ row or cell its neighbours, an end tag everything opened inside, and the head en
 elements with ``hidden`` or ``display:none``, what ``visibility`` hides (parts made visible again inside are kept), and text between the parts of a table's grid is moved out before it.
 All other text is kept, in order: white space collapses outside ``pre``, blocks start on lines of their own,
 paragraphs and the like stand apart by an empty line, list items carry their mark and are indented, and the cells of a table are
-padded so that its columns align.
+padded so that its columns align. Cells take as many columns and rows as ``colspan`` and ``rowspan`` say.
+
+The text grows in proportion to the page: beyond ``MOST_INDENT`` columns a block is indented no further, a line of more than ``MOST_WIDTH`` characters
+does not widen its column, and cells beyond ``MOST_COLUMNS`` columns follow one another. No text is lost by that.
 
 No recursion is used, so nesting may be as deep as the page is long. Null pages give null, empty ones the empty text. Broken markup never fails: a
 ``<`` that starts no tag is text. Other columns are not touched; rows with the same id are rendered each by itself.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -27,13 +31,17 @@ VALUE = rf"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^{BLANKS}>\"'][^{BLANKS}>]*+"
 PAIR = rf"[^{BLANKS}/>][^{BLANKS}/>=]*+(?:[{BLANKS}]*+=[{BLANKS}]*+(?:{VALUE})?+)?+"
 TAG = re.compile(rf"<!--.*?(?:--!?>|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^{BLANKS}/>]*+)((?:[{BLANKS}/]++|{PAIR})*+)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(rf"([^{BLANKS}/>][^{BLANKS}/>=]*+)(?:[{BLANKS}]*+=[{BLANKS}]*+({VALUE})?+)?+")
-NO_DISPLAY = re.compile(r"(?<![-\w])display\s*:\s*none", re.IGNORECASE)
+DISPLAY = re.compile(r"(?<![-\w])display\s*:\s*([-\w]+)", re.IGNORECASE)
 VISIBILITY = re.compile(r"(?<![-\w])visibility\s*:\s*(visible|initial|hidden|collapse)", re.IGNORECASE)
 
+MOST_INDENT = 80
+MOST_WIDTH = 120
+MOST_COLUMNS = 200
+
 # Names of HTML elements by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style title meta link base template noscript iframe noembed noframes datalist object audio video canvas".split())
+UNSEEN = frozenset("head script style title meta link base template noscript iframe noembed noframes datalist object audio video canvas rp".split())
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu".split())
 BLOCK = APART | frozenset(
@@ -64,7 +72,7 @@ class Writer:
         self.parts: list[str] = []
         self.space = False
         self.gap = 0
-        self.indent = ""
+        self.indent = 0
         self.mark = ""
 
     def text(self, text: str) -> None:
@@ -104,7 +112,7 @@ class Writer:
         if self.lines and self.gap > 1:
             self.lines.append("")
         for row in rows:
-            start = self.indent[: len(self.indent) - len(self.mark)] + self.mark if self.mark else self.indent
+            start = " " * (min(self.indent, MOST_INDENT) - len(self.mark)) + self.mark
             self.lines.append((start + row).rstrip(" "))
             self.mark = ""
         self.gap = 0
@@ -114,40 +122,107 @@ class Writer:
         self.gap = max(self.gap, gap)
 
 
+@dataclass
+class Cell:
+    lines: list[str]
+    columns: int
+    rows: int  # 0: all that follow
+
+
+def columns_of(widths: list[int]) -> list[int]:
+    """Where each column begins, and where one after the last would; two blanks apart."""
+    out = [0]
+    for width in widths:
+        out.append(out[-1] + width + 2)
+    return out
+
+
 class Table:
-    """Rows of finished cells, each a list of lines."""
+    """Rows of finished cells."""
 
     def __init__(self):
-        self.rows: list[list[list[str]]] = []
+        self.rows: list[list[Cell]] = []
         self.captions: list[str] = []
 
+    def places(self) -> list[list[tuple[int, Cell]]]:
+        """The column each cell begins in: the first one that no cell of a row above reaches down into."""
+        taken = [0] * MOST_COLUMNS  # the row up to which a column is taken
+        out = []
+        for at_row, row in enumerate(self.rows):
+            at, placed = 0, []
+            for cell in row:
+                while at < MOST_COLUMNS and taken[at] > at_row:
+                    at += 1
+                placed.append((at, cell))
+                down = at_row + cell.rows if cell.rows else len(self.rows)
+                for at in range(at, min(at + cell.columns, MOST_COLUMNS)):
+                    taken[at] = max(taken[at], down)
+                at = min(at + 1, MOST_COLUMNS)
+            out.append(placed)
+        return out
+
+    def widths(self, rows: list[list[tuple[int, Cell]]]) -> list[int]:
+        out = [0] * min(MOST_COLUMNS, max((at + cell.columns for row in rows for at, cell in row), default=0))
+        for wide in (False, True):  # cells of several columns only add what those lack
+            for row in rows:
+                for at, cell in row:
+                    if at >= MOST_COLUMNS or (cell.columns > 1) != wide:
+                        continue
+                    need = max((len(x) for x in cell.lines if len(x) <= MOST_WIDTH), default=0)
+                    last = min(at + cell.columns, MOST_COLUMNS)
+                    out[last - 1] += max(0, need - sum(out[at:last]) - 2 * (last - at - 1))
+        return out
+
     def lines(self) -> list[str]:
-        rows = [r for r in self.rows if any(any(cell) for cell in r)]
-        widths: list[int] = []
-        for row in rows:
-            for i, cell in enumerate(row):
-                width = max(map(len, cell), default=0)
-                if i == len(widths):
-                    widths.append(width)
-                else:
-                    widths[i] = max(widths[i], width)
+        rows = [row for row in self.places() if any(any(cell.lines) for _, cell in row)]
+        begin = columns_of(self.widths(rows))
         out = list(self.captions)
         for row in rows:
-            for k in range(max(map(len, row))):
-                out.append("  ".join((cell[k] if k < len(cell) else "").ljust(widths[i]) for i, cell in enumerate(row)).rstrip(" "))
+            parts: list[list[tuple[int, str]]] = [[] for _ in range(max(len(cell.lines) for _, cell in row))]
+            for at, cell in row:
+                for k, line in enumerate(cell.lines):
+                    if line:
+                        parts[k].append((begin[min(at, len(begin) - 1)], line))
+            for cells in parts:
+                pieces, length = [], 0
+                for at, line in cells:  # padded only where text follows
+                    gap = max(at - length, 2 if length else 0)
+                    pieces += [" " * gap, line]
+                    length += gap + len(line)
+                out.append("".join(pieces))
         return out
 
 
 class Element:
-    __slots__ = ("hidden", "indent", "invisible", "items", "name", "ordered", "pre", "table", "writer")
+    __slots__ = ("hidden", "indent", "invisible", "items", "name", "ordered", "pre", "span", "table", "writer")
 
     def __init__(self, name: str, hidden: bool, invisible: bool, pre: bool):
         self.name, self.hidden, self.invisible, self.pre = name, hidden, invisible, pre  # what is invisible still takes its place
         self.items, self.ordered, self.indent = 0, False, 0
+        self.span = (1, 1)  # columns and rows of a cell
         self.table: Table | None = None
         self.writer: Writer | None = None  # of the text around a cell
 
 
+def values_of(attributes: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        value = m[2] or ""
+        found.setdefault(m[1].lower(), unescape(value.strip(value[0]) if value[:1] in ("'", '"') else value))
+    return found
+
+
+def span_of(attributes: str) -> tuple[int, int]:
+    """Columns and rows that a cell takes; 0 rows: all that follow."""
+    if "span" not in attributes.lower():
+        return 1, 1
+    found, out = values_of(attributes), []
+    for name, least in (("colspan", 1), ("rowspan", 0)):
+        digits = re.match(r"\s*\+?(\d{1,6})", found.get(name, ""))
+        out.append(max(int(digits[1]), least) if digits else 1)
+    return out[0], out[1]
+
+
 class Page:
     """The open elements of a page and what has been written."""
 
@@ -162,14 +237,12 @@ class Page:
         lowered = attributes.lower()
         if "hidden" not in lowered and "style" not in lowered:
             return False, invisible
-        found: dict[str, str] = {}
-        for m in ATTRIBUTE.finditer(attributes):
-            value = m[2] or ""
-            found.setdefault(m[1].lower(), unescape(value.strip(value[0]) if value[:1] in ("'", '"') else value))
+        found = values_of(attributes)
         style = found.get("style", "")
         for said in VISIBILITY.findall(style):
             invisible = said.lower() in ("hidden", "collapse")
-        return "hidden" in found or bool(NO_DISPLAY.search(style)), invisible
+        shown = DISPLAY.findall(style)[-1:]  # the last one counts
+        return "hidden" in found or bool(shown and shown[0].lower() == "none"), invisible
 
     def start(self, name: str, attributes: str) -> None:
         if name not in IN_HEAD:
@@ -182,7 +255,7 @@ class Page:
             self.end_inside(*ENDS[name])
         top = self.open[-1]
         hides, invisible = self.looks(attributes, top.invisible) if attributes else (False, top.invisible)
-        hidden = top.hidden or name in UNSEEN or hides
+        hidden = top.hidden or name in UNSEEN or hides or name == "dialog" and "open" not in values_of(attributes)
         if name == "input" or name in VOID:
             if not hidden:
                 if name == "br" and invisible:
@@ -203,6 +276,7 @@ class Page:
             if name != "caption" and not (table.rows and self.counts.get("tr")):
                 table.rows.append([])  # a row that was never started
             element.writer, self.writer = self.writer, Writer()
+            element.span = span_of(attributes)
             return
         if name == "tr" and self.tables:
             self.tables[-1].rows.append([])
@@ -213,7 +287,8 @@ class Page:
             element.table = Table()
             self.tables.append(element.table)
         elif name == "li":
-            around = next((e for e in reversed(self.open[:-1]) if e.name in ("ul", "ol", "menu")), None)
+            lists = (self.open[at] for at in range(len(self.open) - 2, -1, -1) if self.open[at].name in ("ul", "ol", "menu"))
+            around = next(lists, None)
             mark = "- "
             if around is not None:
                 around.items += 1
@@ -229,7 +304,7 @@ class Page:
 
     def indented(self, element: Element, by: int) -> None:
         element.indent = by
-        self.writer.indent += " " * by
+        self.writer.indent += by
 
     def end_inside(self, names: set[str], border: set[str] | frozenset[str]) -> None:
         """End the innermost open element of these names, unless one of ``border`` is open inside it."""
@@ -273,7 +348,7 @@ class Page:
                 if e.name == "caption":
                     self.tables[-1].captions += lines
                 else:
-                    self.tables[-1].rows[-1].append(lines)
+                    self.tables[-1].rows[-1].append(Cell(lines, *e.span))
                 continue
             if e.table is not None:
                 self.tables.pop()
@@ -284,7 +359,7 @@ class Page:
             if e.indent:
                 self.writer.end()
                 self.writer.mark = ""
-                self.writer.indent = self.writer.indent[: len(self.writer.indent) - e.indent]
+                self.writer.indent -= e.indent
             if e.name in BLOCK and not (e.name == "tr" and self.tables):
                 self.writer.block(2 if e.name in APART and not (e.name in ("ul", "ol", "menu") and self.counts.get("li")) else 1)
 

@@ -1,5 +1,7 @@
 """Rendering of HTML."""
 
+import random
+import re
 from html.parser import HTMLParser
 
 import pytest
@@ -100,3 +102,58 @@ def test_edges(spark):
     df = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (2, "<p>x", "u")], "page_id bigint, html string, text string")
     assert sorted((r.page_id, r.text) for r in html_text.extract(df).collect() if r.text is not None) == [(2, ""), (2, "x")]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def plain_grid(rows):
+    """Column of each cell, by marking every place a cell takes."""
+    taken, columns = set(), {}
+    for r, row in enumerate(rows):
+        for name, across, down in row:
+            c = 0
+            while (r, c) in taken:
+                c += 1
+            columns[name] = c
+            taken |= {(y, x) for x in range(c, c + across) for y in range(r, r + down)}
+    return columns
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_cells_with_spans_stand_in_their_columns(seed):
+    rng = random.Random(seed)
+    rows = [[(f"r{r}c{c}" + "x" * rng.randrange(9), rng.choice([1, 1, 1, 2, 3]), rng.choice([1, 1, 1, 2, 3])) for c in range(rng.randrange(1, 6))] for r in range(7)]
+    html = "<table>" + "".join("<tr>" + "".join(f'<td colspan={a} rowspan="{d}">{n}</td>' for n, a, d in row) for row in rows) + "</table>"
+    lines = html_text.render(html).split("\n")
+    assert len(lines) == len(rows)
+    columns, begins = plain_grid(rows), {}
+    for r, row in enumerate(rows):
+        for name, _, _ in row:
+            begins.setdefault(columns[name], set()).add((" " + lines[r] + " ").index(f" {name} "))
+    assert all(len(at) == 1 for at in begins.values())
+    order = [min(begins[c]) for c in sorted(begins)]
+    assert order == sorted(order) and len(set(order)) == len(order)
+
+
+def test_odd_spans():
+    assert html_text.render("<table><tr><td colspan=0>a<td colspan=x>b<td rowspan=0>c<tr><td>1<td>2<tr><td>3<td>4<td>5</table>") == "a  b  c\n1  2\n3  4     5"
+    assert html_text.render("<table><tr><td colspan=999999>a<td>b<tr><td>c</table>").split() == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<blockquote>a" * 77_000,
+        "<ul><li>a" * 100_000,
+        "<table><tr><td>" + "x " * 20_000 + "<td>b" + "<tr><td>a<td>b" * 70_000,
+        "<table><tr>" + ("<td>" + "w" * 119) * 200 + ("<tr>" + "<td>" * 199 + "a") * 1_200,
+        "<table><tr>" + "<td rowspan=60000>" * 190 + "<tr><td>a" * 100_000,
+    ],
+)
+def test_text_grows_in_proportion_to_the_page(page):
+    out = html_text.render(page)
+    assert len(out) < 50 * len(page)
+    assert sorted(out.replace(" ", "").replace("\n", "").replace("-", "")) == sorted(re.sub(r"<[^>]*>|\s", "", page))
+
+
+def test_what_is_shown_and_what_is_not():
+    html = '<p style="display:none;display:block">s</p><p style="display:block; display: none">t</p><dialog>no</dialog><dialog open>yes</dialog><ruby>x<rp>(</rp><rt>y</rt><rp>)</rp></ruby>'
+    assert html_text.render(html) == "s\n\nyes\nxy"
