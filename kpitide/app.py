@@ -17,38 +17,46 @@ from kpitide.operators.offsets import assign_partitions, ledger_by_group, record
 from kpitide.schemas import seed_words
 from kpitide.session import build_session
 from kpitide.sources import files, kafka
-from kpitide.streaming import jobs
+from kpitide.streaming import event_time, jobs, top
 
 
 def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(prog="kpitide")
-    top.add_argument("job", choices=sorted(JOBS))
-    top.add_argument("--files", help="folder of line files to read")
-    top.add_argument("--files-per-batch", type=int)
-    top.add_argument("--servers", help="Kafka brokers")
-    top.add_argument("--topics", help="Kafka topics to read, separated by commas")
-    top.add_argument("--group", default="kpitide")
-    top.add_argument("--starting-offsets", default="earliest", help="earliest, latest, or offsets as JSON")
-    top.add_argument("--resume-from", help="ledger folder of an earlier kpi job to go on from, without its checkpoint")
-    top.add_argument("--partition-counts", type=json.loads, help="partitions per topic as JSON, for --resume-from")
-    top.add_argument("--earliest", type=json.loads, help="earliest offsets held, as JSON topic to partition to offset, for --resume-from")
-    top.add_argument("--min-partitions", type=int, help="least number of tasks that read Kafka")
-    top.add_argument("--rate", type=int, help="Kafka records per partition and second, with --every and --partition-counts")
-    top.add_argument("--skip-lost", action="store_true", help="go on if records were lost at the broker before they were read, instead of stopping")
-    top.add_argument("--socket", help="host:port of a line server to read; lines are lost on failure")
-    top.add_argument("--rows", type=int, default=10, help="rows the daily job prints of each micro-batch")
-    top.add_argument("--print-rows", type=int, default=2**31 - 1, help="records the consume job prints of each micro-batch")
-    top.add_argument("--prefix", default="SUCC-", help="prefix of the counters' keys")
-    top.add_argument("--width", default="1 minute", help="width of the windows")
-    top.add_argument("--to-partitions", type=int, help="partitions of the topic produce writes to, chosen by hash of the line")
-    top.add_argument("--max-per-batch", type=int, help="Kafka records per micro-batch")
-    top.add_argument("--out", required=True, help="folder the job writes to, reachable for all executors")
-    top.add_argument("--to-topic", help="Kafka topic the produce job writes to")
-    top.add_argument("--every", help="time between micro-batches; without it the job ends when all input is read")
-    top.add_argument("--ttl", type=int, help=f"seconds a KPI lives after its last write, such as {DAY_TTL}")
-    top.add_argument("--compact-every", type=int, default=100, help="micro-batches between compactions")
-    top.add_argument("--delimiter", help="token delimiter of the word counts")
-    return top
+    args = argparse.ArgumentParser(prog="kpitide")
+    args.add_argument("job", choices=sorted(JOBS))
+    args.add_argument("--files", help="folder of line files to read")
+    args.add_argument("--files-per-batch", type=int)
+    args.add_argument("--servers", help="Kafka brokers")
+    args.add_argument("--topics", help="Kafka topics to read, separated by commas")
+    args.add_argument("--group", default="kpitide")
+    args.add_argument("--starting-offsets", default="earliest", help="earliest, latest, or offsets as JSON")
+    args.add_argument("--resume-from", help="ledger folder of an earlier kpi job to go on from, without its checkpoint")
+    args.add_argument("--partition-counts", type=json.loads, help="partitions per topic as JSON, for --resume-from")
+    args.add_argument("--earliest", type=json.loads, help="earliest offsets held, as JSON topic to partition to offset, for --resume-from")
+    args.add_argument("--min-partitions", type=int, help="least number of tasks that read Kafka")
+    args.add_argument("--rate", type=int, help="Kafka records per partition and second, with --every and --partition-counts")
+    args.add_argument("--skip-lost", action="store_true", help="go on if records were lost at the broker before they were read, instead of stopping")
+    args.add_argument("--socket", help="host:port of a line server to read; lines are lost on failure")
+    args.add_argument("--rows", type=int, default=10, help="rows the daily job prints of each micro-batch")
+    args.add_argument("--print-rows", type=int, default=2**31 - 1, help="records the consume job prints of each micro-batch")
+    args.add_argument("--prefix", default="SUCC-", help="prefix of the counters' keys")
+    args.add_argument("--width", default="1 minute", help="width of the windows")
+    args.add_argument("--delay", help="windows close when no order is this much older than the latest one, such as '10 minutes'; later ones go beside them")
+    args.add_argument("--tracked", type=int, help="words that the top-words job keeps sketches of, instead of the counts of all as state")
+    args.add_argument("--to-partitions", type=int, help="partitions of the topic produce writes to, chosen by hash of the line")
+    args.add_argument("--max-per-batch", type=int, help="Kafka records per micro-batch")
+    args.add_argument("--out", required=True, help="folder the job writes to, reachable for all executors")
+    args.add_argument("--to-topic", help="Kafka topic the produce job writes to")
+    args.add_argument("--every", help="time between micro-batches; without it the job ends when all input is read")
+    args.add_argument("--ttl", type=int, help=f"seconds a KPI lives after its last write, such as {DAY_TTL}")
+    args.add_argument("--compact-every", type=int, default=100, help="micro-batches between compactions")
+    args.add_argument("--delimiter", help="token delimiter of the word counts")
+    return args
+
+
+def seconds_of(duration: str) -> float:
+    """``10 minutes`` and the like as seconds."""
+    number, unit = duration.split()
+    return float(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}[unit.rstrip("s")]
 
 
 def first_offsets(spark: SparkSession, args: argparse.Namespace) -> str:
@@ -71,9 +79,7 @@ def raw_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.rate:
         if not (args.every and args.partition_counts):
             raise SystemExit("--rate needs --every and --partition-counts")
-        number, unit = args.every.split()
-        seconds = float(number) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
-        per_batch = kafka.rate_cap(args.rate, sum(args.partition_counts.values()), seconds)
+        per_batch = kafka.rate_cap(args.rate, sum(args.partition_counts.values()), seconds_of(args.every))
     options = kafka.read_options(
         args.servers,
         args.topics,
@@ -111,6 +117,12 @@ def last_job(spark: SparkSession, args: argparse.Namespace) -> list:
 
 
 def windows_job(spark: SparkSession, args: argparse.Namespace) -> list:
+    if args.delay:
+        store, width_ms = event_time.window_store(spark, f"{args.out}/windows"), int(1000 * seconds_of(args.width))
+        job = event_time.closing_window_stream(
+            lines(spark, args), store, f"{args.out}/checkpoint", width_ms, args.delay, args.every, args.compact_every
+        )
+        return [job]
     sums = jobs.window_sums(spark, f"{args.out}/windows")
     return [jobs.window_stream(lines(spark, args), sums, f"{args.out}/checkpoint", args.width, args.every, args.compact_every)]
 
@@ -138,6 +150,9 @@ def words_job(spark: SparkSession, args: argparse.Namespace) -> list:
 def top_words_job(spark: SparkSession, args: argparse.Namespace) -> list:
     out, checkpoint = f"{args.out}/counts", f"{args.out}/checkpoint"
     source = lines(spark, args)
+    if args.tracked:
+        store = top.top_store(spark, out, args.tracked)
+        return [top.top_sketch_stream(source, store, checkpoint, args.delimiter or " ", args.every, args.compact_every)]
     return [jobs.top_word_stream(source, out, checkpoint, delimiter=args.delimiter or " ", every=args.every)]
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from kpitide import app
 from kpitide.operators import kpi
-from kpitide.streaming import jobs
+from kpitide.streaming import event_time, jobs, top
 from kpitide.streaming.store import WholeResults
 from tests.test_streaming import Folder, record
 
@@ -35,6 +35,18 @@ def test_stored_sums(spark, started):
     assert started("windows", "--width", "1 hour") == out
 
 
+def test_windows_that_close_and_top_words_by_sketch(spark, started):
+    out = started("windows", "--width", "1 minute", "--delay", "0 minutes")
+    store = event_time.window_store(spark, f"{out}/windows")
+    assert sum(r["orders"] for r in event_time.all_windows(store, f"{out}/checkpoint").collect()) == 3
+    assert app.seconds_of("2 minutes") == 120
+
+
+def test_top_words_by_sketch(spark, started):
+    out = started("top-words", "--tracked", "64")
+    assert top.top_words(top.top_store(spark, f"{out}/counts", 64), 1).count() == 1
+
+
 def test_last_values(spark, started):
     out = started("last")
     assert {r["key"]: r["orders"] for r in jobs.last_kpis(jobs.last_kpi_rows(spark, f"{out}/last")).collect()}["totalA-20240101"] == 1

@@ -12,6 +12,7 @@ from kpitide.plans import QUERIES, streams
 from kpitide.schemas import provinces
 from kpitide.sources import tables
 from kpitide.streaming import jobs
+from kpitide.streaming.store import WholeResults
 from tests.compare import DATA
 
 SF_DIR = str(DATA / "sf0.001")
@@ -87,7 +88,7 @@ def test_command_line(spark, tmp_path):
     (lines / "a.txt").write_text("a,b\n")
     for job in ("kpi", "daily", "words", "seeded-words", "consume"):
         app.main([job, "--files", str(lines), "--out", str(tmp_path / job)], spark)
-    counts = spark.read.parquet(str(tmp_path / "words" / "counts"))
+    counts = WholeResults(spark, str(tmp_path / "words" / "counts"), 1).newest()
     assert {(r["word"], r["n"]) for r in counts.collect()} == {("a", 1), ("b", 1)}
     rejects = spark.read.parquet(str(tmp_path / "kpi" / "rejects"))
     assert [r["reason"] for r in rejects.collect()] == ["bad_json"]
