@@ -257,3 +257,21 @@ def test_top_words_that_a_sketch_cannot_tell_apart(spark, folder, tmp_path):  #
     lines = word_folder(folder, rng, 2, [f"w{i}" for i in range(400)])
     jobs.run(top.top_sketch_stream(folder.stream(spark), store, str(tmp_path / "cp")))
     assert [tuple(r) for r in top.top_words(store, 3).collect()] == exact_top(lines, 3)
+
+
+# Words in state by bucket
+
+
+def test_words_share_keys_of_the_state(spark, folder, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(keyed_state, "BUCKETS", 8, raising=False)
+    seed = spark.createDataFrame([(f"w{i}", i) for i in range(0, 600, 2)], "word string, n0 bigint")
+    latest = jobs.seeded_rows(spark, str(tmp_path / "out"))
+    expected = Counter()
+    for upto in (400, 500):
+        words = [f"w{i}" for i in range(upto)] + ["hot"] * upto
+        folder.put(" ".join(words))
+        expected.update(words)
+        query = keyed_state.seeded_state_stream(folder.stream(spark), seed, latest, str(tmp_path / "cp"))
+        jobs.run(query)
+        assert held(jobs.seeded_counts(latest)) == {w: n + (int(w[1:]) if w != "hot" and int(w[1:]) % 2 == 0 else 0) for w, n in expected.items()}
+        assert query.lastProgress.stateOperators[0].numRowsTotal <= 8
