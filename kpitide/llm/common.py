@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from kpitide.session import scratch_path
@@ -34,6 +38,20 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, str(BATCH_AT_MOST))
 
 
+def released(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task that gives what it held back to the system at its end: Python workers live on, beside the JVM, through the steps after it."""
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:  # glibc
+            trim(0)
+
+    return run
+
+
 _shipped: set[str] = set()
 
 

@@ -44,12 +44,16 @@ def slots() -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def bound_runs() -> np.ndarray:
-    """The vector of every run of three slots."""
+def letter_vectors() -> np.ndarray:
+    """The vectors of a slot as the first, second and third of a run."""
     letters = np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (SLOTS, DIMENSIONS))
-    first, second = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-    pairs = first[:, None, :] * second[None, :, :]
-    return (pairs[:, :, None, :] * letters[None, None, :, :]).reshape(RUNS, DIMENSIONS)
+    return np.stack([np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1), letters])
+
+
+def bound_runs(runs: np.ndarray) -> np.ndarray:
+    """The vectors of runs of three slots."""
+    first, second, third = letter_vectors()
+    return first[runs // SLOTS**2] * second[runs // SLOTS % SLOTS] * third[runs % SLOTS]
 
 
 def run_counts(text: str | None) -> np.ndarray | None:
@@ -70,7 +74,7 @@ def bundled(counts: np.ndarray, kind: type) -> np.ndarray:
     out = np.zeros((len(counts), DIMENSIONS), kind)
     for lo in range(0, len(used), RUNS_AT_ONCE):
         some = used[lo : lo + RUNS_AT_ONCE]
-        out += counts[:, some].astype(kind) @ bound_runs()[some].astype(kind)
+        out += counts[:, some].astype(kind) @ bound_runs(some).astype(kind)
     return out
 
 

@@ -33,11 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpitide.llm.common import written
+from kpitide.llm.common import released, written
 from kpitide.llm.components import components
 
 LEAST_BITS = 1024
-BITMAP_BYTES_AT_ONCE = 1 << 24
+BITMAP_BYTES_AT_ONCE = 1 << 21
 BAND_RATIO = 1.5
 SLICINGS = 4
 LEADER_ROUNDS = 4
@@ -173,6 +173,7 @@ def tiles(found: np.ndarray, rule: Rule) -> np.ndarray:
 def sets(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
     """``id, n, h1, h2, bits``: size, hash and bitmap of each text's set."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, high, low, bits = [], [], [], []
@@ -193,6 +194,7 @@ def sets(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
 def tile_rows(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
     """``tile, same, id``: the tiles of each text; ``same`` is a hash of its set. A task passes on equal sets once."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         names = ["tile", "same", "id"]
@@ -231,6 +233,7 @@ def shared_tiles(rows: DataFrame) -> DataFrame:
     """
     kind = dict(rows.dtypes)["id"]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
         if not held:
@@ -239,12 +242,14 @@ def shared_tiles(rows: DataFrame) -> DataFrame:
         held.clear()
         order = np.lexsort((ids, same, tile))
         tile, same, ids = tile[order], same[order], ids[order]
+        del order
         new = np.append(True, (tile[1:] != tile[:-1]) | (same[1:] != same[:-1]))
         tile, same, ids = tile[new], same[new], ids[new]
         first = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
         sizes = np.diff(np.append(first, len(tile)))
         leader = np.repeat(np.minimum.reduceat(ids, first), sizes)
         name = mix(np.bitwise_xor.reduceat(mix(same.view(np.uint64) + ODD), first) ^ mix(sizes.astype(np.uint64)))
+        del tile, same, new
         once = np.zeros(len(first), bool)
         once[np.unique(name, return_index=True)[1]] = True
         keep = np.repeat((sizes > 1) & once, sizes)
@@ -264,6 +269,7 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, rule: Rule) -
 
     kind = dict(pairs.dtypes)["a"]
 
+    @released
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -285,6 +291,7 @@ def verified(pairs: DataFrame, known: DataFrame, texts: DataFrame, rule: Rule) -
     rows = own.unionByName(other).join(texts, F.col("b") == texts["id"]).select("a", "salt", "kind", "b", "text")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind").select("a", "kind", "b", "text")
 
+    @released
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.empty(0, np.uint64)
         for batch in batches:
@@ -314,6 +321,7 @@ def block_pairs(members: DataFrame, known: DataFrame, rule: Rule) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = placed.withColumn("other", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
+    @released
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:

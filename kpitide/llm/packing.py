@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpitide.llm.bpe import word_codec
-from kpitide.llm.common import written
+from kpitide.llm.common import released, written
 
 WINDOW = 2048
 END_ID = 1
@@ -42,6 +42,7 @@ def tokenize(docs: DataFrame, vocabulary: str, window: int = WINDOW, key: str =
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
     end = np.array([end_id], "<u4").tobytes()
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = word_codec(vocabulary)
         part = TaskContext.get().partitionId()
@@ -181,6 +182,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, key: str = "doc
     names = ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, ROWS_AT_ONCE):

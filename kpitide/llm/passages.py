@@ -27,11 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpitide.llm.common import written
+from kpitide.llm.common import released, written
 
 RUN_WORDS = 0  # words that a run of several sentences must have: with more, what is left of a passage in foreign text would stay
 LONG_WORDS = 40
 SPAN_WORDS = 15
+TEXTS_AT_ONCE = 500
 BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
 
@@ -95,10 +96,11 @@ def long_spans(parts: list[str], covered: Iterable[tuple[int, int]]) -> set[int]
 def run_table(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``id, h, c, first, size, again``: hash of each run of each text. ``again``: the text had it before."""
 
+    @released
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "h", "c", "first", "size", "again"]
         types = [None, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
-        for b in batches:
+        for b in (some.slice(lo, TEXTS_AT_ONCE) for some in batches for lo in range(0, some.num_rows, TEXTS_AT_ONCE)):
             place, columns = [], [[] for _ in range(5)]
             for row, t in enumerate(b.column(1)):
                 seen: set[bytes] = set()
@@ -136,6 +138,7 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     rows = docs.select(key, text, *others).toDF("_key", "_text", *inner)
     joined = rows.join(spans, rows["_key"] == spans["id"], "left").select("_key", "_text", "spans", *inner)
 
+    @released
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["_key", "_text", *inner, "_n", "_removed"]
         for b in batches:
