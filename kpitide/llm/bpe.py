@@ -7,7 +7,7 @@ length, such as a text without blanks, is encoded in n log n steps.
 
 New words of up to ``SHORT`` bytes are merged side by side, one tree per row of an array, each step for all words that can still
 merge; longer ones one by one. Both take the same steps. Texts are cut and their words looked up a few million letters at
-a time. Each task keeps up to ``KEPT`` words it has encoded, in arrays; this only saves time.
+a time. Each task keeps about ``KEPT`` words it has encoded, in arrays, and ``LONG_KEPT`` bytes of long ones; this only saves time.
 
 Null texts are encoded as empty ones. Empty texts give no ids and decode to the empty text. Other columns are not touched.
 """
@@ -19,7 +19,7 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame
 
 KEPT = 1_000_000
 SHORT = 63  # bytes
+ROWS_SIDE_BY_SIDE = 8192
 PACKED = 23  # bytes of a word that fit into three integers beside its length
+LONG_KEPT = 16 << 20  # bytes of words that are longer than PACKED
 CHARS_AT_ONCE = 2_000_000
 NO_MERGE = 1 << 62
 POSITION_BITS = 32
@@ -171,102 +173,177 @@ class Merger:
         return [x for x, lives in zip(ids, alive, strict=True) if lives]
 
 
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """Keys whose low bits depend on all bits."""
+    keys = keys * np.uint64(0x9E3779B97F4A7C15)
+    return keys ^ keys >> np.uint64(32)
+
+
+class Places:
+    """A hash table of row numbers, with open addressing. It is told by its caller whether the row it found is the one looked for."""
+
+    def __init__(self, size: int):
+        self.slots = np.full(1 << max(10, (3 * size).bit_length()), -1, np.int32)
+
+    def find(self, keys: np.ndarray, same: Callable[[np.ndarray | slice, np.ndarray], np.ndarray]) -> np.ndarray:
+        """Row of each key, or -1. ``same(some, rows)``: whether those of the keys are the ones of these rows."""
+        mask = np.uint64(len(self.slots) - 1)
+        slot = (keys & mask).astype(np.int64)
+        found = self.slots.take(slot)
+        wrong = np.flatnonzero((found >= 0) & ~same(slice(None), found))
+        while len(wrong):
+            slot[wrong] = step = slot[wrong] + 1 & int(mask)
+            found[wrong] = row = self.slots[step]
+            wrong = wrong[(row >= 0) & ~same(wrong, row)]
+        return found
+
+    def put(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        """Add different rows; equal keys may repeat. Fewer rows than slots."""
+        mask = len(self.slots) - 1
+        slot = (keys & np.uint64(mask)).astype(np.int64)
+        while len(rows):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = rows[free]
+            left = self.slots[slot] != rows
+            slot, rows = slot[left] + 1 & mask, rows[left]
+
+
 class SideBySide:
     """The same merging for many short sequences at once."""
 
     def __init__(self, ranks: dict[int, int], merged: list[int], none: int):
-        keys = np.fromiter(ranks, np.int64, len(ranks))
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.rank = np.fromiter(ranks.values(), np.int64, len(ranks))[order]
+        self.pairs = Places(len(ranks))
+        self.keys = np.fromiter(ranks, np.int64, len(ranks))
+        self.pairs.put(mixed(self.keys.astype(np.uint64)), np.arange(len(ranks), dtype=np.int32))
+        self.rank = np.fromiter(ranks.values(), np.int64, len(ranks))
         self.merged = np.array(merged, np.int32)
         self.none = none  # an id that no merge has
 
     def _leaf(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << PAIR_BITS | right
-        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[found] == key, self.rank[found] << POSITION_BITS | at, NO_MERGE)
+        found = self.pairs.find(mixed(key.astype(np.uint64)), lambda some, place: self.keys[place] == key[some])
+        return np.where(found >= 0, self.rank[found] << POSITION_BITS | at, NO_MERGE)
 
     def encode(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``symbols`` one after the other. Returns the merged ids one after the other, and how many each sequence has."""
-        rows, leaves = len(lengths), 1 << int(lengths.max()).bit_length()
-        width = leaves + 1
-        ids = np.full((rows, width), self.none, np.int32)
+        ends = np.cumsum(lengths)
+        parts, count = [], np.empty(len(lengths), np.int64)
+        leaves = 1 << int(lengths.max()).bit_length()
+        for lo in range(0, len(lengths), ROWS_SIDE_BY_SIDE):
+            some = lengths[lo : lo + ROWS_SIDE_BY_SIDE]
+            last = ends[lo + len(some) - 1]
+            ids, count[lo : lo + len(some)] = self._encode(symbols[ends[lo] - some[0] : last], some, leaves)
+            parts.append(ids)
+        return np.concatenate(parts), count
+
+    def _encode(self, symbols: np.ndarray, lengths: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
+        rows, width = len(lengths), leaves + 1
         starts = np.cumsum(lengths) - lengths
-        row = np.repeat(np.arange(rows), lengths)
-        column = np.arange(len(symbols)) - starts[row]
-        ids[row, column] = symbols
-        alive = np.zeros((rows, width), bool)
-        alive[row, column] = True
-        after = np.minimum(np.arange(1, width + 1), width - 1) + np.zeros((rows, 1), np.int64)
-        before = np.arange(-1, width - 1) + np.zeros((rows, 1), np.int64)
+        put = ragged(np.arange(rows) * width, lengths)
+        ids = np.full(rows * width, self.none, np.int32)
+        ids[put] = symbols
+        alive = np.zeros(rows * width, bool)
+        alive[put] = True
+        after = np.tile(np.minimum(np.arange(1, width + 1, dtype=np.int32), width - 1), rows)
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int32), rows)
         tree = np.full((rows, 2 * leaves), NO_MERGE, np.int64)
-        tree[:, leaves:] = self._leaf(ids[:, :-1], ids[:, 1:], np.arange(leaves))
+        flat = tree.reshape(-1)
+        pair = np.ones(len(put), bool)
+        pair[starts + lengths - 1] = False  # the last symbol of a row has none after it
+        put = put[pair]
+        row = put // width
+        column = put - row * width
+        flat[row * (2 * leaves) + leaves + column] = self._leaf(ids[put], ids[put + 1], column)
         size = leaves
         while size > 1:
             level = tree[:, size : 2 * size]
             size //= 2
             tree[:, size : 2 * size] = np.minimum(level[:, ::2], level[:, 1::2])
-        flat = tree.ravel()
         active = np.arange(rows)
-        while len(active := active[tree[active, 1] < NO_MERGE]):
-            root = tree[active, 1]
+        while True:
+            root = flat[active * (2 * leaves) + 1]
+            going = root < NO_MERGE
+            active, root = active[going], root[going]
+            if not len(active):
+                break
+            cell, base = active * width, active * (2 * leaves)
             i = root & POSITION_MASK
-            j = after[active, i]
-            k = after[active, j]
-            ids[active, i] = new = self.merged[root >> POSITION_BITS]
-            alive[active, j] = False
-            after[active, i] = k
-            before[active, k] = i
-            h = before[active, i]
-            has = h >= 0
-            left, at = active[has], h[has]
-            base = active * (2 * leaves)
-            node = np.concatenate([base + leaves + i, base + leaves + j, base[has] + leaves + at])
-            flat[node] = np.concatenate(
-                [self._leaf(new, ids[active, k], i), np.full(len(j), NO_MERGE), self._leaf(ids[left, at], new[has], at)]
-            )
-            first = np.concatenate([base, base, base[has]])
-            inner = node - first
+            j = after[cell + i]
+            k = after[cell + j]
+            ids[cell + i] = new = self.merged[root >> POSITION_BITS]
+            alive[cell + j] = False
+            after[cell + i] = k
+            before[cell + k] = i
+            h = before[cell + i]
+            has = np.flatnonzero(h >= 0)
+            at = h[has]
+            leaf = self._leaf(np.concatenate([new, ids[cell[has] + at]]), np.concatenate([ids[cell + k], new[has]]), np.concatenate([i, at]))
+            first = np.concatenate([base, base[has], base])
+            inner = np.concatenate([i, at, j]) + leaves
+            flat[first + inner] = np.concatenate([leaf, np.full(len(j), NO_MERGE)])
             for _ in range(leaves.bit_length() - 1):
                 inner >>= 1
                 below = first + 2 * inner
                 flat[first + inner] = np.minimum(flat[below], flat[below + 1])
-        return ids[alive], alive.sum(axis=1)
+        return ids[alive], np.add.reduce(alive.reshape(rows, width), axis=1, dtype=np.int64)
 
 
 class Words:
-    """Encoded words in arrays, found by their packed bytes."""
+    """Encoded words in arrays, found by their packed bytes, or by a dictionary if they are longer. The arrays have room to spare; the first ``size`` and ``n_ids`` entries count."""
 
     def __init__(self):
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.packed = np.empty((0, 3), np.uint64)
-        self.first = np.empty(0, np.int64)
-        self.count = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int32)
+        self.size = self.n_ids = self.long_bytes = 0
+        self.long: dict[bytes, int] = {}
+        self.places = Places(0)
+        self.keys = np.empty(1, np.uint64)
+        self.packed = np.empty((1, 3), np.uint64)
+        self.first = np.empty(1, np.int64)
+        self.count = np.empty(1, np.int64)
+        self.ids = np.empty(1, np.int32)
 
     def find(self, keys: np.ndarray, packed: np.ndarray) -> np.ndarray:
         """Place of each word, or -1."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        same = (self.keys[at] == keys) & (self.packed[at] == packed).all(axis=1)
-        return np.where(same, at, -1)
-
-    def add(self, keys: np.ndarray, packed: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > KEPT:
-            self.clear()
-        first = len(self.ids) + np.cumsum(count) - count
-        order = np.argsort(keys, kind="stable")
-        at = np.searchsorted(self.keys, keys[order])
-        self.keys = np.insert(self.keys, at, keys[order])
-        self.packed = np.insert(self.packed, at, packed[order], axis=0)
-        self.first = np.insert(self.first, at, first[order])
-        self.count = np.insert(self.count, at, count[order])
-        self.ids = np.concatenate([self.ids, ids])
+
+        def same(some: np.ndarray | slice, rows: np.ndarray) -> np.ndarray:
+            equal = self.packed.take(rows, axis=0) == packed[some]
+            return equal[:, 0] & equal[:, 1] & equal[:, 2]
+
+        return self.places.find(keys, same)
+
+    def add(self, keys: np.ndarray, packed: np.ndarray, ids: np.ndarray, count: np.ndarray) -> int:
+        """Add words that are not there; their places are the one returned and those after it."""
+        place, end = self.size, self.size + len(keys)
+        self.keys, self.packed = with_room(self.keys, place, len(keys)), with_room(self.packed, place, len(keys))
+        self.first, self.count = with_room(self.first, place, len(keys)), with_room(self.count, place, len(keys))
+        self.keys[place:end], self.packed[place:end] = keys, packed
+        self.first[place:end], self.count[place:end] = self.n_ids + np.cumsum(count) - count, count
+        self.ids = with_room(self.ids, self.n_ids, len(ids))
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.size, self.n_ids = end, self.n_ids + len(ids)
+        unplaced = place
+        if 2 * end > len(self.places.slots):
+            self.places, unplaced = Places(end), 0
+        self.places.put(self.keys[unplaced:end], np.arange(unplaced, end, dtype=np.int32))
+        return place
+
+    def add_long(self, words: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
+        """The same for words of more than ``PACKED`` bytes. Their packed bytes have size 0, which none of the others has."""
+        keys = np.array([hash(w) for w in words], np.int64).astype(np.uint64)
+        place = self.add(keys, np.zeros((len(words), 3), np.uint64), ids, count)
+        self.long.update(zip(words, range(place, self.size), strict=True))
+        self.long_bytes += sum(map(len, words))
+
+
+def with_room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or a longer one with its first ``used`` entries, that holds ``more`` after them."""
+    if used + more <= len(array):
+        return array
+    out = np.empty((max(2 * used, used + more), *array.shape[1:]), array.dtype)
+    out[:used] = array[:used]
+    return out
 
 
 def pack(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -280,6 +357,14 @@ def pack(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
+def different(keys: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one of each word is, and which of these each word is."""
+    _, example, which = np.unique(keys, return_index=True, return_inverse=True)
+    if not (packed[example][which] == packed).all():  # two words with the same key
+        _, example, which = np.unique(packed, axis=0, return_index=True, return_inverse=True)
+    return example, which.ravel()
+
+
 def ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """first, first + 1, ... (``count`` of them), for each entry, one after the other."""
     ends = np.cumsum(count)
@@ -353,75 +438,60 @@ class Vocabulary:
         """Ids of texts one after the other, and where those of each text end. Pre-tokens that start at a dropped letter are left out."""
         data = np.frombuffer(joined.encode() + bytes(24), np.uint8)
         starts = np.flatnonzero(start)
-        widths = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
-        offset = np.concatenate([[0], np.cumsum(widths)])
         ends = np.append(starts[1:], len(points))
         keep = ~dropped[starts]
         starts, ends = starts[keep], ends[keep]
-        first, size = offset[starts], offset[ends] - offset[starts]
+        if len(data) - 24 == len(points):  # a byte for each letter
+            first, size = starts, ends - starts
+        else:
+            widths = 1 + (points > 0x7F).view(np.uint8) + (points > 0x7FF) + (points > 0xFFFF)
+            offset = np.concatenate([[0], np.cumsum(widths, dtype=np.int64)])
+            first = offset[starts]
+            size = offset[ends] - first
         count = np.zeros(len(first), np.int64)
         begin = np.zeros(len(first), np.int64)
 
         small = np.flatnonzero(size <= PACKED)
         packed = pack(data, first[small], size[small])
         odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-        keys = (packed * odd).sum(axis=1, dtype=np.uint64)
+        keys = packed[:, 0] * odd[0] + packed[:, 1] * odd[1] + packed[:, 2] * odd[2]
         keys ^= keys >> np.uint64(29)
-        unique, example, which = np.unique(keys, return_index=True, return_inverse=True)
-        if not (packed[example][which] == packed).all():  # two words with the same key
-            _, example, which = np.unique(packed, axis=0, return_index=True, return_inverse=True)
-            unique, which = keys[example], which.ravel()
-        shapes = packed[example]
-        found = self.words.find(unique, shapes)
-        new = np.flatnonzero(found < 0)
-        ids, made = self._merge(data, first[small][example[new]], size[small][example[new]])
-        pool = [self.words.ids, ids]
-        of_word = np.where(found >= 0, self.words.first[found] if len(self.words.first) else 0, 0)
-        n_word = np.where(found >= 0, self.words.count[found] if len(self.words.count) else 0, 0)
-        of_word[new] = len(self.words.ids) + np.cumsum(made) - made
-        n_word[new] = made
-        begin[small], count[small] = of_word[which], n_word[which]
+        words = self.words
+        if words.long_bytes > LONG_KEPT:
+            words.clear()
+        place = words.find(keys, packed)
+        new = np.flatnonzero(place < 0)
+        example, which = different(keys[new], packed[new])
+        if words.size and words.size + len(example) > KEPT:
+            words.clear()
+            new = np.arange(len(small))
+            example, which = different(keys, packed)
+        if len(new):
+            example = new[example]
+            ids, made = self._merge(data, first[small[example]], size[small[example]])
+            place[new] = words.add(keys[example], packed[example], ids, made) + which
+        begin[small], count[small] = words.first[place], words.count[place]
         large = np.flatnonzero(size > PACKED)
         if len(large):
-            more, n_more = self._merge(data, first[large], size[large])
-            begin[large] = len(pool[0]) + len(ids) + np.cumsum(n_more) - n_more
-            count[large] = n_more
-            pool.append(more)
-        stream = np.concatenate(pool)[ragged(begin, count)]
-        if len(new):
-            self.words.add(unique[new], shapes[new], ids, made)
+            raw = data.tobytes()
+            each = [raw[a : a + n] for a, n in zip(first[large].tolist(), size[large].tolist(), strict=True)]
+            at = {w: i for w, i in zip(each, large.tolist(), strict=True) if w not in words.long}
+            some = np.fromiter(at.values(), np.int64, len(at))
+            words.add_long(list(at), *self._merge(data, first[some], size[some]))
+            place = np.fromiter(map(words.long.__getitem__, each), np.int64, len(each))
+            begin[large], count[large] = words.first[place], words.count[place]
+        stream = words.ids[ragged(begin, count)]
         per_text = np.searchsorted(starts, borders)  # pre-tokens before the end of each text
         return stream, np.concatenate([[0], np.cumsum(count)])[per_text]
 
 
-class Codec(Vocabulary):
-    """Encoder and decoder that keep every byte of a text."""
-
-    def __init__(self, path: str):
-        super().__init__(path)
-        spec = self.spec
-        if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"] or spec["normalizer"]:
-            raise ValueError(f"{path} is not a plain byte-level vocabulary")
-
-    def _texts(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids of each of some texts without added tokens."""
-        joined = "\n".join(texts) + "\n"
-        borders = np.cumsum([len(t) + 1 for t in texts]) - 1
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        kind = kinds_of(points, borders)
-        stream, ends = self._stream(joined, points, borders, pre_token_starts(points, kind), kind == BORDER)
-        begin = 0
-        for end in ends.tolist():
-            yield stream[begin:end].tolist()
-            begin = end
-
     def _parts(self, text: str) -> list[str]:
         """The text at added tokens: plain text at even places, an added token at odd ones."""
         if any(t in text for t in self.added):
             return self.at_added.split(text)
         return [text]
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int] | bytes]:
         """Ids of each text, a few million letters at a time."""
         first = 0
         while first < len(texts):
@@ -434,11 +504,34 @@ class Codec(Vocabulary):
             for parts in split:
                 out = next(plain)
                 for added in parts[1::2]:
-                    out.append(self.added[added])
+                    out += self.special[added]
                     out += next(plain)
                 yield out
             first = last
 
+
+class Codec(Vocabulary):
+    """Encoder and decoder that keep every byte of a text."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        spec = self.spec
+        if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"] or spec["normalizer"]:
+            raise ValueError(f"{path} is not a plain byte-level vocabulary")
+        self.special = {t: [i] for t, i in self.added.items()}
+
+    def _texts(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of each of some texts without added tokens."""
+        joined = "\n".join(texts) + "\n"
+        borders = np.cumsum([len(t) + 1 for t in texts]) - 1
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = kinds_of(points, borders)
+        stream, ends = self._stream(joined, points, borders, pre_token_starts(points, kind), kind == BORDER)
+        begin = 0
+        for end in ends.tolist():
+            yield stream[begin:end].tolist()
+            begin = end
+
     def encode(self, text: str | None) -> list[int]:
         return next(self.encode_all([text]))
 
@@ -458,58 +551,20 @@ class WordCodec(Vocabulary):
         if normalizers != ["NFC", "Replace", "Lowercase"] or not self.spec["model"]["end_of_word_suffix"]:
             raise ValueError(f"{path} is not a lower-case vocabulary with word ends")
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in self.added.items()}
-        self.known: dict[str, bytes] = {}
-        self.odd = re.compile("[\x1c-\x1f]")  # white space to str.split, but not to the vocabulary
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words without white space."""
-        out = {}
-        for lo in range(0, len(words), 200_000):
-            some = words[lo : lo + 200_000]
-            # Such vocabularies lower letter by letter, without the sigma at a word's end.
-            joined = unicodedata.normalize("NFC", "\n".join(some) + "\n").replace("\u03a3", "\u03c3").lower()
-            points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-            borders = np.flatnonzero(points == 0x0A)
-            kind = kinds_of(points, borders)
-            stream, ends = self._stream(joined, points, borders, word_starts(points, kind), (kind == BORDER) | (kind == BLANK))
-            coded, begin = stream.astype("<u4").tobytes(), 0
-            for word, end in zip(some, (4 * ends).tolist(), strict=True):
-                out[word] = coded[begin:end]
-                begin = end
-        return out
-
-    def _split(self, text: str) -> list[str]:
-        """Words, and special tokens as they are."""
-        if any(t in text for t in self.added):
-            parts = self.at_added.split(text)
-            return [w for n, p in enumerate(parts) for w in ([p] if n % 2 else self._split(p))]
-        if self.odd.search(text):
-            return [w for w in re.split(f"[{BLANKS}]+", text) if w]
-        return text.split()
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text, a few million letters at a time."""
-        first = 0
-        while first < len(texts):
-            size, last = 0, first
-            while last < len(texts) and (size < CHARS_AT_ONCE or last == first):
-                size += len(texts[last] or "")
-                last += 1
-            known = self.known
-            known.update(self.special)
-            split = [self._split(t) if t else [] for t in texts[first:last]]
-            found = [list(map(known.get, words)) for words in split]
-            new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
-            if new:
-                learnt = self._learn(list(new))
-                known.update(learnt)
-            for words, ids in zip(split, found, strict=True):
-                if None in ids:
-                    ids = [learnt[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-                yield b"".join(ids)
-            if len(known) > KEPT // 2:
-                self.known = {}
-            first = last
+    def _texts(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each of some texts without added tokens."""
+        joined = "\n".join([t.replace("\n", " ") for t in texts]) + "\n"
+        # Such vocabularies lower letter by letter, without the sigma at a word's end.
+        joined = unicodedata.normalize("NFC", joined).replace("\u03a3", "\u03c3").lower()
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        borders = np.flatnonzero(points == 0x0A)
+        kind = kinds_of(points, borders)
+        stream, ends = self._stream(joined, points, borders, word_starts(points, kind), (kind == BORDER) | (kind == BLANK))
+        coded, begin = stream.astype("<u4").tobytes(), 0
+        for end in (4 * ends).tolist():
+            yield coded[begin:end]
+            begin = end
 
 
 @lru_cache(maxsize=2)

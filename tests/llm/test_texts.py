@@ -1,7 +1,9 @@
 """Language profiles, BPE, toxicity, licences, passages and packing."""
 
 import hashlib
+import itertools
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -234,6 +236,48 @@ def test_passages_that_stand_in_mid_sentence(spark):
     assert found[10] == found[11] == ("Gg. Gg.", 0)
 
 
+def test_words_made_of_few_parts_are_kept_as_those_parts():
+    """Signs beside a word do not make it a new one: 90,000 different words between blanks, 301 different parts."""
+    codec, other = bpe.WordCodec(WORDS), library(WORDS)
+    parts = ["".join(p) for p in itertools.islice(itertools.product("abcdefg", repeat=3), 300)]
+    texts = [" ".join(f"{a}-{b}" for b in parts) for a in parts]
+    list(codec.encode_all(texts[:1]))
+    tracemalloc.start()
+    try:
+        before, _ = tracemalloc.get_traced_memory()
+        coded = [hashlib.sha256(ids).digest() for ids in codec.encode_all(texts)]
+        after, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert after - before < 1 << 20
+    assert coded == [hashlib.sha256(np.array(other.encode(t, add_special_tokens=False).ids, "<u4").tobytes()).digest() for t in texts]
+
+
+@pytest.mark.parametrize("limits", [{"KEPT": 40}, {"LONG_KEPT": 60}, {"CHARS_AT_ONCE": 1}, {"ROWS_SIDE_BY_SIDE": 3}])
+def test_kept_words_that_are_dropped_change_nothing(monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(bpe, name, value)
+    words = ["unbelievably", "\u043f\u0440\u0435\u0434\u043f\u0440\u0438\u043d\u0438\u043c\u0430\u0442\u0435\u043b\u044c", "x" * 23, "x" * 24, "y" * 29, "z" * 70, "\u03a3\u03a3\n", "a\u0301", "\x1c"]
+    random.seed(8)
+    texts = odd_texts(60) + [" ".join(random.choice([*words, *SIGNS]) for _ in range(30)) for _ in range(60)]
+    byte, word = bpe.Codec(BYTES), bpe.WordCodec(WORDS)
+    bytes_library, words_library = library(BYTES), library(WORDS)
+    for _ in range(2):
+        for lo in range(0, len(texts), 7):
+            some = texts[lo : lo + 7]
+            assert list(byte.encode_all(some)) == [e.ids for e in bytes_library.encode_batch(some, add_special_tokens=False)]
+            found = [np.frombuffer(ids, "<u4").tolist() for ids in word.encode_all(some)]
+            assert found == [e.ids for e in words_library.encode_batch(some, add_special_tokens=False)]
+
+
+def test_places_of_equal_keys():
+    places, names = bpe.Places(10), np.arange(400)
+    keys = np.repeat(np.uint64(7), 400)
+    places.put(keys[:300], np.arange(300, dtype=np.int32))
+    found = places.find(keys, lambda some, rows: (names[rows] == names[some]))
+    assert found.tolist() == [*range(300), *[-1] * 100]
+
+
 def check_packing(pieces, texts, window, end_id=1):
     other = library(WORDS)
     expected = Counter()
